@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import sentences
+from claimloom.llm import chunks, packing, sentences
 from claimloom.session import table
 
 
+def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Every piece of every evidence text longer than the limit; repeats of a row count once."""
+    return chunks.split_texts(chunks.long_evidence(table(spark, d, "adjudication_inputs")), ["claim_id", "ev_pos"], "ev_text").distinct()
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    pieces = chunks.split_texts(chunks.long_evidence(table(spark, d, "adjudication_inputs")), ["claim_id", "ev_pos"], "ev_text")
+    return pieces.filter("n_pieces > 1").select("claim_id", "ev_pos").distinct()
+
+
 def _claims(spark: SparkSession, d: str) -> DataFrame:
     """Each claim and its text once, however often it was delivered."""
     return table(spark, d, "ccp_registry").select("claim_id", "claim_text").filter("trim(claim_text) <> ''").distinct()
@@ -22,8 +32,33 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_sentences(spark, d).select("claim_id", "sent_no", "start_char", "end_char").distinct()
 
 
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Each piece of each document with the container it went to."""
+    return packing.pack(table(spark, d, "documents"), "doc_id", "text").drop("segments")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), "doc_id", "text").filter("n_pieces > 1").select("doc_id").distinct()
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers by tenth of the capacity used, with their tokens."""
+    packed = packing.pack(table(spark, d, "documents"), "doc_id", "text")
+    full = packed.groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    return full.groupBy(F.floor(F.col("tokens") * 10 / packing.CAPACITY).cast("int").alias("tenth")).agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"))
+
+
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_pieces": p2_pieces,
     "p6_found": p6_found,
     "p6_sentences": p6_sentences,
+    "p8_found": p8_found,
+    "p8_packed": p8_packed,
+    "p8_fill": p8_fill,
+}
+SQL: dict[str, str] = {
+    "p2_found": """SELECT DISTINCT claim_id, CAST(k - 1 AS INT) AS ev_pos FROM
+      (SELECT claim_id, unnest(evidence) AS e, generate_subscripts(evidence, 1) AS k FROM adjudication_inputs) WHERE length(e.text) > 1200""",
+    "p8_found": "SELECT doc_id FROM documents WHERE strlen(coalesce(text, '')) + 1 > 4096",
 }
-SQL: dict[str, str] = {}
