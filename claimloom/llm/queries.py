@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chunks, packing, sentences
+from claimloom.llm import chunks, packing, residue, sentences
 from claimloom.session import table
 
 
@@ -48,6 +48,15 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return full.groupBy(F.floor(F.col("tokens") * 10 / packing.CAPACITY).cast("int").alias("tenth")).agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"))
 
 
+def p10_residue(spark: SparkSession, d: str) -> DataFrame:
+    """Documents to exclude, with the words of each kind of evidence in their residual."""
+    return residue.find_residue(table(spark, d, "documents"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_residue(spark, d).select("doc_id").distinct()
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
@@ -56,6 +65,8 @@ QUERIES = {
     "p8_found": p8_found,
     "p8_packed": p8_packed,
     "p8_fill": p8_fill,
+    "p10_found": p10_found,
+    "p10_residue": p10_residue,
 }
 SQL: dict[str, str] = {
     "p2_found": """SELECT DISTINCT claim_id, CAST(k - 1 AS INT) AS ev_pos FROM
