@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chunks, packing, residue, sentences
+from claimloom.llm import chunks, leakage, packing, residue, sentences
 from claimloom.session import table
 
 
@@ -48,6 +48,20 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return full.groupBy(F.floor(F.col("tokens") * 10 / packing.CAPACITY).cast("int").alias("tenth")).agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"))
 
 
+def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Each document and leaked item, with the longest verified run and its replaced words."""
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "heldout_items"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_leaks(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents hold each leaked item."""
+    return p9_leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("run_words").alias("longest_run"))
+
+
 def p10_residue(spark: SparkSession, d: str) -> DataFrame:
     """Documents to exclude, with the words of each kind of evidence in their residual."""
     return residue.find_residue(table(spark, d, "documents"))
@@ -65,6 +79,9 @@ QUERIES = {
     "p8_found": p8_found,
     "p8_packed": p8_packed,
     "p8_fill": p8_fill,
+    "p9_found": p9_found,
+    "p9_leaks": p9_leaks,
+    "p9_items": p9_items,
     "p10_found": p10_found,
     "p10_residue": p10_residue,
 }
