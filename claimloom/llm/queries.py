@@ -5,10 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chunks, leakage, packing, residue, sentences
+from claimloom.llm import chunks, leakage, names, packing, residue, sentences
+from claimloom.operators import packed
 from claimloom.session import table
 
 
+def p1_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Each spelling with the entity it names."""
+    return names.link_names(table(spark, d, "ccp_registry"), "citation_author")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variant_pairs(p1_entities(spark, d))
+
+
+def p1_cited(spark: SparkSession, d: str) -> DataFrame:
+    """Spellings in citation_text too: the author part of each cited value, with its entity and the claims that cite it."""
+    claims = table(spark, d, "ccp_registry").select("claim_id", "citation_author", "citation_text").distinct()
+    values = packed.unpack_field(claims.select("claim_id", "citation_text").distinct(), "citation_text", ["claim_id"])
+    in_text = values.select("claim_id", F.trim(F.regexp_extract("cite_value", r"^(.*?)[,(\s]*\(?\b(?:1[5-9]|20)\d\d", 1)).alias("name"))
+    spelled = claims.select("claim_id", F.col("citation_author").alias("name")).unionByName(in_text).filter("trim(name) <> ''").distinct()
+    linked = names.link_names(spelled.select("name"))
+    return spelled.groupBy("name").agg(F.count("*").alias("claims")).join(linked, "name")
+
+
 def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Every piece of every evidence text longer than the limit; repeats of a row count once."""
     return chunks.split_texts(chunks.long_evidence(table(spark, d, "adjudication_inputs")), ["claim_id", "ev_pos"], "ev_text").distinct()
@@ -72,6 +92,9 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_entities": p1_entities,
+    "p1_cited": p1_cited,
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
     "p6_found": p6_found,
