@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import chunks, leakage, names, packing, residue, sentences
+from claimloom.llm import chunks, leakage, names, packing, residue, scans, sentences
 from claimloom.operators import packed
 from claimloom.session import table
 
@@ -52,6 +52,15 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_sentences(spark, d).select("claim_id", "sent_no", "start_char", "end_char").distinct()
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.noisy_lines(table(spark, d, "sources_text"))
+
+
+def p7_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """The repaired paragraphs."""
+    return scans.repaired_paragraphs(table(spark, d, "sources_text"))
+
+
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:
     """Each piece of each document with the container it went to."""
     return packing.pack(table(spark, d, "documents"), "doc_id", "text").drop("segments")
@@ -99,6 +108,8 @@ QUERIES = {
     "p2_pieces": p2_pieces,
     "p6_found": p6_found,
     "p6_sentences": p6_sentences,
+    "p7_found": p7_found,
+    "p7_paragraphs": p7_paragraphs,
     "p8_found": p8_found,
     "p8_packed": p8_packed,
     "p8_fill": p8_fill,
