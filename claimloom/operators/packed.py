@@ -52,8 +52,11 @@ def _mask_literals(df: DataFrame, col: str, marks: str, opened: str, closed: str
 def _strip_brackets(text: Column) -> Column:
     """Take away brackets only where they stand around the whole field."""
     t = F.regexp_replace(text, r"^\s+|\s+$", "")
-    whole = t.rlike(r"^\((?:[^()]|\([^()]*\))*\)$") | t.rlike(r"^\[(?:[^\[\]]|\[[^\[\]]*\])*\]$")
-    return F.when(whole, F.regexp_replace(t, r"^[(\[]|[)\]]$", "")).otherwise(t)
+    inner = F.regexp_replace(t, r"^[(\[]|[)\]]$", "")
+    # pairs within are taken out first; a bracket that is left over belongs to an outer one (no nested quantifier: long texts are safe)
+    round_ = t.rlike(r"(?s)^\(.*\)$") & ~F.regexp_replace(inner, r"\([^()]*+\)", "").rlike("[()]")
+    square = t.rlike(r"(?s)^\[.*\]$") & ~F.regexp_replace(inner, r"\[[^\[\]]*+\]", "").rlike(r"[\[\]]")
+    return F.when(round_ | square, inner).otherwise(t)
 
 
 def unpack_field(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
