@@ -42,9 +42,11 @@ def cut_bytes(text: str, capacity: int) -> list[int]:
 
 
 def fill(sizes: np.ndarray, capacity: np.ndarray) -> np.ndarray:
-    """Container number of each item (rows of sizes, all within capacity) by the dot-product heuristic."""
+    """Container number of each item (rows of sizes) by the dot-product heuristic. An item larger than a limit counts as that limit, so
+    it has a container of its own as far as that limit goes."""
     if not len(sizes):
         return np.zeros(0, np.int64)
+    sizes = np.minimum(sizes, capacity)
     types, inverse, counts = np.unique(sizes, axis=0, return_inverse=True, return_counts=True)
     inverse = inverse.ravel()
     order = np.argsort(inverse, kind="stable")
@@ -100,8 +102,7 @@ def pack(documents: DataFrame, id_col: str, text_col: str, capacity: int = CAPAC
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece_no", "tokens"], ignore_index=True)
-        sizes = np.minimum(pdf[["tokens", "segments", "loss"]].to_numpy(np.int64), limits)  # loss may not shut an item out for ever
-        pdf["container"] = fill(sizes, limits) + (pdf["shard"].to_numpy(np.int64) << 32)
+        pdf["container"] = fill(pdf[["tokens", "segments", "loss"]].to_numpy(np.int64), limits) + (pdf["shard"].to_numpy(np.int64) << 32)
         return pdf.drop(columns="shard")
 
     schema = "doc_id long, piece_no int, n_pieces int, tokens long, loss long, segments long, container long"
