@@ -529,4 +529,54 @@ SQL = {
     "q_props": "SELECT event_id, CAST(len(json_keys(props)) AS INT) AS n_keys, array_to_string(list_sort(json_keys(props)), ',') AS keys FROM events",
 }
 
+_STOP_LIST = "['" + "', '".join(X.STOPWORDS) + "']"
+
+
+def _tokens_sql(x: str) -> str:
+    words = f"string_split_regex({_strip(f"regexp_replace(lower(coalesce({x}, '')), '[!-/:-@\\[-`{{-~]', ' ', 'g')")}, '{_SP}+')"
+    return f"list_filter({words}, lambda t: length(t) > 1 AND NOT list_contains({_STOP_LIST}, t) AND strlen(t) = length(t))"
+
+
+_DOC_SECTIONS = _SECTIONS + """,
+dsec AS (SELECT doc_id AS review_id, min(line_no) AS sec_no, section AS title, string_agg(line, ' ' ORDER BY line_no) AS body FROM secs WHERE line NOT LIKE '#%' AND section <> 'unknown' GROUP BY doc_id, section),
+sec AS (SELECT review_id, sec_no, CASE WHEN sec_no % 3 = 0 THEN 3 ELSE 2 END AS level, title, body FROM dsec)"""
+_DOC_CLAIMS = (
+    "ds AS (" + _sentences("(SELECT doc_id, regexp_replace(text, '(?m)^#.*$', '', 'g') AS text FROM documents)", "doc_id", "text", False) + "),"
+    r" cl AS (SELECT doc_id AS review_id, doc_id || '#' || sent_no AS claim_id, sentence AS claim_text FROM ds WHERE regexp_matches(sentence, '\([^()]*\d{4}'))"
+)
+_TFIDF = f"""
+st AS (SELECT review_id, sec_no, unnest({_tokens_sql('body')}) AS term FROM sec),
+tf AS (SELECT review_id, sec_no, term, count(*) AS tf FROM st GROUP BY ALL),
+nn AS (SELECT review_id, count(*) AS n FROM sec GROUP BY ALL),
+idf AS (SELECT tf.review_id, term, ln((any_value(n) + 1) / (count(*) + 1)) + 1 AS idf FROM tf JOIN nn ON tf.review_id = nn.review_id GROUP BY tf.review_id, term),
+wt AS (SELECT tf.review_id, sec_no, tf.term, tf * idf AS w FROM tf JOIN idf ON tf.review_id = idf.review_id AND tf.term = idf.term),
+nrm AS (SELECT review_id, sec_no, sqrt(sum(w * w)) AS norm FROM wt GROUP BY ALL),
+ct AS (SELECT review_id, claim_id, unnest({_tokens_sql('claim_text')}) AS term FROM cl),
+cq AS (SELECT c.review_id, claim_id, c.term, tf * coalesce(idf, 1.0) AS q FROM (SELECT review_id, claim_id, term, count(*) AS tf FROM ct GROUP BY ALL) c LEFT JOIN idf ON c.review_id = idf.review_id AND c.term = idf.term),
+cn AS (SELECT claim_id, sqrt(sum(q * q)) AS qn FROM cq GROUP BY ALL),
+dt AS (SELECT cq.review_id, claim_id, sec_no, sum(q * w) AS dot FROM cq JOIN wt ON cq.review_id = wt.review_id AND cq.term = wt.term GROUP BY ALL),
+pr AS (SELECT cl.claim_id, sec.sec_no, title, level, CASE WHEN regexp_matches(title, '{X.WEAK_HEADINGS}') THEN 0.60 ELSE 1.0 END * CASE level WHEN 4 THEN 1.15 WHEN 3 THEN 1.10 WHEN 1 THEN 0.90 ELSE 1.0 END AS prior,
+  coalesce(dot / (norm * qn), 0) AS cosine, len(list_intersect({_tokens_sql('claim_text')}, {_tokens_sql('title')})) AS overlap
+  FROM cl JOIN sec ON cl.review_id = sec.review_id LEFT JOIN dt ON dt.claim_id = cl.claim_id AND dt.sec_no = sec.sec_no AND dt.review_id = sec.review_id
+  LEFT JOIN nrm ON nrm.review_id = sec.review_id AND nrm.sec_no = sec.sec_no LEFT JOIN cn ON cn.claim_id = cl.claim_id),
+bt AS (SELECT claim_id, sec_no, title, level, round(cosine * CAST(prior AS DOUBLE), 9) AS score FROM pr QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY round(cosine * CAST(prior AS DOUBLE), 9) DESC, sec_no) = 1),
+bo AS (SELECT claim_id, sec_no, title, level FROM pr QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY overlap * prior DESC, sec_no) = 1),
+matched AS (SELECT bt.claim_id, CASE WHEN score > 0 THEN bt.sec_no ELSE bo.sec_no END AS sec_no, CASE WHEN score > 0 THEN bt.title ELSE bo.title END AS title,
+  CASE WHEN score > 0 THEN bt.level ELSE bo.level END AS level, CAST(CASE WHEN score > 0 THEN round(score, 6) ELSE 0.0 END AS DOUBLE) AS score FROM bt JOIN bo ON bt.claim_id = bo.claim_id)"""
+_YEAR_ONLY = r" regexp_extract(sentence, '(\d{4})[a-z]?\s*\)', 1) AS claim_text"
+SQL |= {
+    "q_tfidf_section": f"WITH {_DOC_SECTIONS}, {_DOC_CLAIMS}, {_TFIDF} SELECT * FROM matched",
+    "q_section_fallback": f"""WITH {_DOC_SECTIONS.replace("title, body FROM dsec", "title, regexp_replace(body, '[0-9]', ' ', 'g') AS body FROM dsec")},
+      {_DOC_CLAIMS.replace(" sentence AS claim_text", _YEAR_ONLY)}, {_TFIDF} SELECT claim_id, sec_no, title, score FROM matched""",
+    "q_file_inventory": rf"""WITH f AS (SELECT DISTINCT path, string_split(replace(path, chr(92), '/'), '/')[-1] AS name FROM file_inventory),
+      g AS (SELECT path, name, regexp_replace(trim(lower(regexp_replace(regexp_replace(replace(regexp_replace(trim(name), '(?i)(?:\.pdf)+$', ''), '&', ' and '), '[!-/:-@\[-`{{-~]', ' ', 'g'), '[^A-Za-z0-9_ ]+', ' ', 'g'))), ' +', '_', 'g') AS stem_norm FROM f)
+      SELECT path, name, stem_norm, nullif(regexp_extract(stem_norm, '(?i)(?:^|[^0-9])((?:19|20)\d{{2}}[a-z]?)(?:[^0-9a-z]|$)', 1), '') AS year FROM g""",
+    "q_author_keys": rf"""WITH a AS (SELECT DISTINCT citation_author FROM ccp_registry WHERE citation_author IS NOT NULL)
+      SELECT citation_author, regexp_replace(regexp_replace(regexp_replace(replace(lower(trim(string_split_regex(trim(regexp_replace(regexp_replace(replace(regexp_replace(citation_author, '(?i)\bet\.?\s*al\.?\b', '', 'g'), '&', ' and '),
+        '[()\[\]{{}},.;:]', ' ', 'g'), '\s+', ' ', 'g')), '(?i)\band\b|[–—]')[1])), '-', '_'), '[’'']', '', 'g'), '\s+', '_', 'g'), '^_+|_+$', '', 'g') AS primary_key,
+      {_SURNAME.format('citation_author')} AS surname_key, {_FIRST_KEY.format('citation_author')} AS first_key, {_FIRST_KEY.replace(chr(92) + 'band' + chr(92) + 'b', 'and').format('citation_author')} AS first_key_compat FROM a""",
+    "q_reference_index": f"""WITH r AS (SELECT DISTINCT review_id, raw_line FROM references_index WHERE raw_line <> '')
+      SELECT review_id, regexp_extract(raw_line, '{_ENTRY}', 1) AS first_author, regexp_extract(raw_line, '{_ENTRY}', 2) AS year, {_strip('raw_line')} AS raw_line FROM r WHERE regexp_extract(raw_line, '{_ENTRY}', 1) <> ''""",
+}
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("q_")}
