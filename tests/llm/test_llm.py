@@ -265,7 +265,8 @@ def test_residue_sentences(text, kind):
 def test_find_residue(spark):
     prose = "The study of water found better targeting because supervision was irregular and managers took part. " * 4
     banner = "Please enable JavaScript to view this report."
-    rows = [(k, f"{banner}\n{prose}", "h1") for k in range(30)] + [(100, banner, "h1"), (101, f"Home | Site\n{banner}", None), (102, prose + "\nLorem ipsum dolor sit amet aliqua elit.", "h2"), (103, "", "h1"), (104, None, None), (105, prose, None)]
+    own = lambda k: prose.replace("water", "".join(chr(97 + int(c)) for c in str(k + 1000)))  # noqa: E731  # no line of its own recurs
+    rows = [(k, f"{banner}\n{own(k)}", "h1") for k in range(30)] + [(100, banner, "h1"), (101, f"Home | Site\n{banner}", None), (102, prose + "\nLorem ipsum dolor sit amet aliqua elit.", "h2"), (103, "", "h1"), (104, None, None), (105, prose, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'q' AS line", "1 AS prose")
     assert {r.doc_id for r in residue.find_residue(df).collect()} == {100, 101, 102}
     assert residue.find_residue(df.limit(0)).count() == 0
