@@ -43,12 +43,14 @@ LATIN_FILLER = set(
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea "
     "commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
 )
+#: those of them that are no short words of living languages; a filler sentence holds at least one
+LONG_FILLER = {w for w in LATIN_FILLER if len(w) >= 5} | {"amet", "elit", "enim", "quis", "nisi", "duis", "aute", "esse", "sint", "sunt", "anim"}
 KEY_FILLER = set("asdf asdfasdf qwerty blah foo bar baz test testing text dummy sample xxx yyy zzz 123 abc".split())
 
 NOTICE = re.compile(
     r"(?:enable|activate|turn on|switch on|allow)\b[^.\n]{0,25}\b(?:javascript|cookies|scripts?)\b|\b(?:requires?|needs?) javascript|scripts? (?:are|is) (?:blocked|disabled)|javascript is (?:disabled|required|not)|your browser (?:is not supported|does not)"
     r"|checking your browser|verify (?:that )?you are (?:a )?human|(?:session|link) has expired|sign in again|too many requests|service (?:is )?(?:temporarily )?unavailable|temporarily unavailable|under(?:going)? maintenance"
-    r"|^(?:http(?:/[\d.]+)?|error|status)[ :]*[45]\d\d\b|^[45]\d\d\b[ -:–—]*(?:not found|forbidden|error|bad|service|internal|unauthorized|gateway|gone)|\bpage (?:not found|(?:you requested )?(?:could not be|cannot be|was not) found)|internal server error|bad gateway"
+    r"|^(?:http(?:/[\d.]+)?|error|status)[ :]*[45]\d\d\b|^[45]\d\d\b[ -:–—]*(?:not found|forbidden|error|bad request|bad gateway|service unavailable|internal server|unauthorized|gateway|gone\b)|\bpage (?:not found|(?:you requested )?(?:could not be|cannot be|was not) found)|internal server error|bad gateway"
     r"|access (?:is )?denied|^forbidden\b|fatal error:|uncaught exception|traceback \(most recent|^warning: |connection refused|could not load|something went wrong|^(?:keyerror|typeerror|valueerror|nullpointer)|has been logged"
     r"|(?:activer|activez)[^.\n]{0,20}javascript|page (?:introuvable|non trouvée)|erreur \d{3}|página no (?:encontrada|existe)|(?:habilite|active|activar|active el)[^.\n]{0,20}javascript|página não (?:encontrada|existe)|(?:ative|habilite) o javascript"
     r"|seite (?:nicht gefunden|wurde nicht)|javascript (?:aktivieren|einschalten)|aktivieren sie (?:bitte )?javascript|页面不存在|页面未找到|找不到(?:页面|网页)|请(?:启用|开启)|返回首页重试|访问被拒绝|スクリプトを有効|ページが見つかりません|javascriptを有効|服务不可用"
@@ -58,24 +60,31 @@ NOTICE = re.compile(
 TOLD = re.compile(
     r"\b(?:that|noted|complained|asked (?:them|us|him|her)|reported|said|showed|explained|ended in|visits to|officers?|auditors?|trainers?|interviewees?|because|when|during|were|les agents|los funcionarios|os técnicos|die beamten)\b[^.\n]*", re.I
 )
-SENTENCE = re.compile(r"[^.!?。！？।።]*(?:[.!?。！？।።…]+[\"”»)\]]*|$)")
+# Each notice and each field text holds one of these (lower case); a text without any needs no closer look for them.
+NOTICE_KEYS = (
+    "javascript", " script", "scripts are", "scripts is", "script are", "script is", "cookies", "browser", "you are", "expired", "sign in again", "too many", "unavailable", "under maintenance", "undergoing maintenance", "http", "error", "status", "not found", "not be found", "cannot be found", "forbidden", "bad request", "internal server", "unauthorized",
+    "gateway", "gone", "denied", "exception", "traceback", "warning", "refused", "could not load", "went wrong", "nullpointer", "has been logged", "introuvable", "non trouvée", "erreur", "página", "seite", "页面", "网页", "启用", "开启",
+    "首页", "访问", "スクリプト", "ページ", "服务", "الصفحة", "جافا", "पृष्ठ", "जावा", "ไม่พบ", "จาวา", "ገጹ",
+)
+FIELD_KEYS = ("click", "choose an item", "your text", "add a ", "replace this", "tbd", "summary to follow", "insert text", "insert title", "insert name", "compléter", "completar", "preencher", "einfügen", "ejemplo", "此处", "请在此", "ここに")
+PLACE_KEYS = re.compile(r"[{<\[«]|#[A-Za-z]|%%|__|MM|XX|undefined|null \(")
 WORD = re.compile(r"\w+")
 
 
-def kind_of_sentence(s: str) -> str | None:
-    """placeholder, filler, notice or None."""
-    words = [w.lower() for w in WORD.findall(s)]
+def kind_of_sentence(s: str, words: list[str] | None = None, field: bool = True, notice: bool = True) -> str | None:
+    """placeholder, filler, notice or None. field, notice: may the sentence hold such a text, by the keys of the whole text?"""
+    words = [w.lower() for w in WORD.findall(s)] if words is None else words
     if not words:
         return None
-    if (m := PLACEHOLDER.search(s)) and not MENTION.search(s[: m.start()]):
+    if PLACE_KEYS.search(s) and (m := PLACEHOLDER.search(s)) and not MENTION.search(s[: m.start()]):
         return "placeholder"
-    if (m := FIELD_TEXT.search(s)) and len(words) <= 25 and not MENTION.search(s[: m.start()]) and not (len(words) > 12 and TOLD.search(s[: m.start()])):
+    if field and len(words) <= 25 and (m := FIELD_TEXT.search(s)) and not MENTION.search(s[: m.start()]) and not (len(words) > 12 and TOLD.search(s[: m.start()])):
         return "placeholder"
-    if len(words) >= 3 and sum(w in LATIN_FILLER for w in words) >= 0.7 * len(words) and ("lorem" in words or len(words) >= 5):
+    if len(words) >= 3 and not LONG_FILLER.isdisjoint(words) and sum(w in LATIN_FILLER for w in words) >= 0.7 * len(words) and ("lorem" in words or len(words) >= 5):
         return "filler"
     if len(words) >= 5 and sum(w in KEY_FILLER for w in words) >= 0.8 * len(words):
         return "filler"
-    if (m := NOTICE.search(s.strip())) and not (m.start() > 0 and TOLD.search(s.strip()[: m.start()])):
+    if notice and (m := NOTICE.search(s.strip())) and not (m.start() > 0 and TOLD.search(s.strip()[: m.start()])):
         return "notice"
     return None
 
@@ -86,12 +95,20 @@ def sentences_of(line: str) -> Iterator[str]:
 
 
 def classify_lines(text: str) -> list[tuple[str, int, int, int, int]]:
-    """(line, words of placeholders, of filler, of notices, of other running text) for each line with a word."""
+    """(line, words of placeholders, of filler, of notices, of other running text) for each line with a word; [] for a text that by its
+    keys and words can hold no evidence."""
+    low = text.lower()
+    field, notice = any(k in low for k in FIELD_KEYS), any(k in low for k in NOTICE_KEYS)
+    if not field and not notice and not PLACE_KEYS.search(text):
+        words = WORD.findall(low)
+        if LONG_FILLER.isdisjoint(words) and sum(w in KEY_FILLER for w in words) < 4:
+            return []
     out = []
     for line in text.split("\n"):
         n = {"placeholder": 0, "filler": 0, "notice": 0, None: 0}
         for s in sentences_of(line):
-            n[kind_of_sentence(s)] += len(WORD.findall(s)) if not re.search(r"[぀-鿿]", s) else len(s) // 2
+            words = [w.lower() for w in WORD.findall(s)]
+            n[kind_of_sentence(s, words, field, notice)] += len(words) if s.isascii() or not re.search(r"[぀-鿿]", s) else len(s) // 2
         if any(n.values()):
             other = n[None] if n[None] >= 8 else 0  # headings, navigation and the like are no running text
             out.append((line, n["placeholder"], n["filler"], n["notice"], other))
