@@ -22,6 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -97,6 +98,7 @@ def line_kinds(lines: list[str]) -> list[str]:
     return kinds
 
 
+@lru_cache(1 << 16)
 def core(token: str) -> str:
     """A mark of exclamation at the end stays: it may be a misread i."""
     return token.strip(STRIP)
@@ -136,11 +138,13 @@ def read(text: str) -> tuple[list[str], list[str], list[Word]]:
     return lines, kinds, words
 
 
-def parts_of(token: str) -> list[str]:
+@lru_cache(1 << 16)
+def parts_of(token: str) -> tuple[str, ...]:
     """The words of a token, lower case: a compound is several."""
-    return [p for p in re.split(r"[-‐‑–—/]", core(token).lower()) if p]
+    return tuple(p for p in re.split(r"[-‐‑–—/]", core(token).lower()) if p)
 
 
+@lru_cache(1 << 16)
 def certain_misread(token: str) -> bool:
     return any(CERTAIN.search(p) and not ORDINAL.fullmatch(p) and sum(c.isalpha() for c in p) >= sum(c.isdigit() for c in p) for p in (core(x) for x in re.split(r"[-‐‑–—/]", core(token))))
 
@@ -201,7 +205,7 @@ def count_words(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                 for w in words:
                     if w.right:
                         brk[(core(w.text).lower(), core(w.right).lower(), w.mark)] += 1
-                        ws = [core(w.text).lower() + core(w.right).lower()] if w.mark in SOFT else []
+                        ws = (core(w.text).lower() + core(w.right).lower(),) if w.mark in SOFT else ()
                     else:
                         ws = parts_of(w.text)
                         if len(ws) > 1:
@@ -334,7 +338,8 @@ def decode(found: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFrame
     lines = found.filter("kind = 'decode'").select("stem", "line_no", "words").distinct()
     tok = lines.select("stem", "line_no", F.posexplode("words").alias("pos", "word"))
     options = alts.groupBy("word").agg(F.collect_list(F.struct("cand", "k", F.col("n_cand").alias("n"))).alias("alts"))  # candidates of one word
-    tok = tok.join(options, "word", "left").join(words.select("word", F.col("n").alias("n_word")), "word", "left")
+    known = words.select("word", F.col("n").alias("n_word")).join(options, "word", "left")  # by distinct word, so the tokens are joined once
+    tok = tok.join(known, "word", "left")
     own = F.array(F.struct(F.col("word").alias("cand"), F.lit(0).alias("k"), F.coalesce("n_word", F.lit(1)).cast("long").alias("n")))
     tok = tok.select("stem", "line_no", F.struct("pos", "word", F.coalesce("alts", own).alias("alts"), F.coalesce("n_word", F.lit(1)).alias("n")).alias("t"))
     line = cut(tok.groupBy("stem", "line_no").agg(F.array_sort(F.collect_list("t")).alias("ts")).filter(F.exists("ts", lambda t: F.size(t["alts"]) > 1)))  # the words of one line
