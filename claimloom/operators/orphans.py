@@ -67,12 +67,16 @@ def find_orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
     numbered = cut(dense_integers(sides.select("key")).join(sides, "key"))
     gone = beyond_runs(numbered.filter("w = 1").select("n"), contiguous_runs(numbered.filter("h = 1").select("n")))
     missing = wanted.join(numbered.join(gone, "n", "left_semi").select("key"), "key", "left_semi").select("key", "at", F.lit("missing").alias("reason"))
-    spans = lives.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # distinct lifetimes of one key
-    found = wanted.join(spans, "key")
-    started = lambda s: s["start"].isNull() | F.col("at").isNull() | (s["start"] <= F.col("at"))
-    live = F.exists("spans", lambda s: started(s) & (s["end"].isNull() | F.col("at").isNull() | (s["end"] > F.col("at"))))
-    late = F.exists("spans", lambda s: ~started(s))
-    dead = found.filter(~live).select("key", "at", F.when(late, F.lit("late")).otherwise(F.lit("deleted")).alias("reason"))
+    # Records live at a time: starts up to it less ends up to it, as a running sum over the key's times, which needs no list of them.
+    latest = lives.groupBy("key").agg(F.max("start").alias("latest"))
+    found = wanted.filter("at IS NOT NULL").join(latest, "key").select("key", F.col("at").alias("t"), F.lit(1).alias("kind"), F.lit(0).alias("step"), "latest")
+    none = F.lit(None).cast("timestamp").alias("latest")
+    sound = lives.filter("start IS NULL OR end IS NULL OR start < end")  # others are never live
+    starts = sound.select("key", F.col("start").alias("t"), F.lit(0).alias("kind"), F.lit(1).alias("step"), none)  # a null start sorts first
+    ends = sound.filter("end IS NOT NULL").select("key", F.col("end").alias("t"), F.lit(0).alias("kind"), F.lit(-1).alias("step"), none)
+    order = Window.partitionBy("key").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    seen = found.unionByName(starts).unionByName(ends).withColumn("live", F.sum("step").over(order)).filter("kind = 1 AND live = 0")
+    dead = seen.select("key", F.col("t").alias("at"), F.when(F.col("latest") > F.col("t"), F.lit("late")).otherwise(F.lit("deleted")).alias("reason"))
     return missing.unionByName(dead)
 
 
