@@ -11,10 +11,9 @@ def multi_level_counts(df: DataFrame, levels: list[tuple[str, list[str]]], value
 
     levels: (name, keys) from the coarsest on, e.g. [("overall", []), ("review", ["review_id"]), ...]."""
     keys = levels[-1][1]
-    df.select(value, *keys).createOrReplaceTempView("_levels")
     sets = ", ".join(f"({', '.join([*ks, value])})" for _, ks in levels)
     grouping = [f"grouping({k}) AS g_{k}" for k in keys]
-    out = df.sparkSession.sql(f"SELECT {value}, {', '.join(keys)}, {', '.join(grouping)}, count(*) AS count FROM _levels GROUP BY GROUPING SETS ({sets})")
+    out = df.sparkSession.sql(f"SELECT {value}, {', '.join(keys)}, {', '.join(grouping)}, count(*) AS count FROM {{rows}} GROUP BY GROUPING SETS ({sets})", rows=df.select(value, *keys))
     level = F.lit(levels[0][0])
     for name, ks in levels[1:]:
         level = F.when(F.col(f"g_{ks[-1]}") == 0, F.lit(name)).otherwise(level)
