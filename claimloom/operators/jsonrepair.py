@@ -1,4 +1,4 @@
-"""Recover JSON objects from broken files: whole document, arrays, lines, or objects side by side with any rubbish between."""
+"""Recover JSON objects from broken files: whole document, arrays, lines (real or literal line ends), or objects side by side with any rubbish between."""
 
 from __future__ import annotations
 
@@ -15,11 +15,16 @@ from pyspark.sql import functions as F
 ROW_KEYS = ["records", "items", "data", "lines", "results", "rows"]
 
 
-def split_objects(text: str) -> Iterator[str]:
-    """Top-level {...} spans; braces and escaped quotes inside strings do not count."""
-    depth, start, in_string, escaped = 0, 0, False, False
-    for m in re.finditer(r'[{}"\\]|(?<=\\)[^{}"\\]', text):
-        c, at = m.group(), m.start()
+DECODER = json.JSONDecoder()
+# A line end, real or literal, whose next line comes to an object before any quote or other brace; its indent is kept.
+LINE_OBJECT = re.compile(r"(?:\r?\n|\r|\\n)\ufeff?([ \t]*)(?=[^\"'{}\r\n]*\{)")
+
+
+def closing(text: str, start: int, stop: int) -> int | None:
+    """The end of the {...} span at start if it closes before stop; braces and escaped quotes inside strings do not count."""
+    depth, in_string, escaped = 0, False, False
+    for m in re.compile(r'[{}"\\]|(?<=\\)[^{}"\\]').finditer(text, start, stop):
+        c = m.group()
         if in_string:
             if escaped:
                 escaped = False
@@ -27,15 +32,60 @@ def split_objects(text: str) -> Iterator[str]:
                 escaped = True
             elif c == '"':
                 in_string = False
-        elif c == '"' and depth:
+        elif c == '"':
             in_string = True
         elif c == "{":
-            start = at if depth == 0 else start
             depth += 1
-        elif c == "}" and depth:
+        elif c == "}":
             depth -= 1
             if depth == 0:
-                yield text[start : at + 1]
+                return m.end()
+    return None
+
+
+def without_commas(raw: str) -> object:
+    """Parsed with its trailing commas dropped."""
+    return json.loads(re.sub(r",(\s*[}\]])", r"\1", raw))
+
+
+def stands_alone(text: str, at: int) -> bool:
+    """Is the object of the line that begins after at whole, and no item of a list?"""
+    try:
+        end = DECODER.raw_decode(text, text.index("{", at))[1]
+    except ValueError:
+        return False
+    return not re.match(r"\s*[,\]}]", text[end : end + 100])
+
+
+def split_objects(text: str) -> Iterator[tuple[object, str | None]]:
+    """(value, None) or (None, raw) for each top-level object. One that does not parse ends at its own brace, or else at the next line
+    with an object that is indented no deeper, so that a cut line takes no other with it; what stays open at the end is bad too."""
+    at = 0
+    while (i := text.find("{", at)) >= 0:
+        try:
+            value, at = DECODER.raw_decode(text, i)
+            yield value, None
+            continue
+        except ValueError:
+            pass
+        head = re.split(r"[\r\n\ufeff]|\\n", text[at:i])[-1]
+        indent = len(head) - len(head.lstrip(" \t"))
+        cut = next((m.start() for m in LINE_OBJECT.finditer(text, i) if len(m[1]) <= indent), len(text))
+        ends = [closing(text, i, cut)]
+        # open at a comma or bracket, it may go on over lines that begin with its own parts
+        if ends[0] is None and cut < len(text) and text[i:cut].rstrip()[-1] in ",[{:" and not stands_alone(text, cut):
+            ends.append(closing(text, i, len(text)))
+        for end in ends:
+            try:
+                if end is not None:
+                    value, at = without_commas(text[i:end]), end
+                    yield value, None
+                    break
+            except ValueError:
+                continue
+        else:
+            at = cut if ends[0] is None else ends[0]
+            yield None, text[i:at].rstrip()
 
 
 def no_nan(value: object) -> object:
@@ -61,7 +111,8 @@ def rows_of(value: object) -> list | None:
 
 
 def recover(text: str | None) -> list[tuple[str | None, str | None]]:
-    """(object as strict JSON, None) or (None, raw) in order. NaN and infinities become null; trailing commas are dropped."""
+    """(object as strict JSON, None) or (None, raw) in order. NaN and infinities become null; trailing commas are dropped. Text outside
+    objects gives no row."""
     text = (text or "").lstrip("﻿").strip()
     if not text:
         return []
@@ -71,17 +122,7 @@ def recover(text: str | None) -> list[tuple[str | None, str | None]]:
             return [(json.dumps(no_nan(r), ensure_ascii=False), None) for r in rows]
     except ValueError:
         pass
-    out: list[tuple[str | None, str | None]] = []
-    for raw in split_objects(text):
-        for attempt in (raw, re.sub(r",(\s*[}\]])", r"\1", raw)):
-            try:
-                out.append((json.dumps(no_nan(json.loads(attempt)), ensure_ascii=False), None))
-                break
-            except ValueError:
-                continue
-        else:
-            out.append((None, raw))
-    return out
+    return [(None, raw) if raw is not None else (json.dumps(no_nan(v), ensure_ascii=False), None) for v, raw in split_objects(text)]
 
 
 def recover_files(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The claim pipeline's operators on hand-made cases, with the quirks in both modes, and properties."""
 
 import io
+import json
 import zipfile
 
 import pytest
@@ -178,6 +179,21 @@ def test_json_recovery():
     assert jsonrepair.recover('x {"a": 1,} y {bad} z') == [('{"a": 1}', None), (None, "{bad}")] and jsonrepair.recover(None) == []
 
 
+@pytest.mark.parametrize("nl", ["\n", "\r\n", "\\n"])
+def test_json_recovery_of_cut_lines(nl):
+    lines = ['{"a": "x\\\\n{y"}', '{"a": 2, "e": [{"p": 1}, {"p":', '{"a": 3, "t": "un', '{"a": 4}', "{'a': '5'}", '\ufeff{"a": 6,}', 'x {"a": 7}', '[{"a": 8}, {"a": 9}]', '{"a": 10, "e": [', '{"a": 11}', '{"a": 12, "t": "end']
+    got = jsonrepair.recover(nl.join(lines))
+    assert [json.loads(g)["a"] for g, _ in got if g] == [json.loads(lines[0])["a"], 4, 6, 7, 8, 9, 11]
+    assert [b for _, b in got if b] == [lines[k] for k in (1, 2, 4, 8, 10)]
+
+
+def test_json_recovery_over_lines():
+    good = lambda t: [json.loads(g) for g, _ in jsonrepair.recover(t) if g]
+    assert good('{"a": [\n{"x": 1},\n{"y": 2},\n]}\n{"b": 1}') == [{"a": [{"x": 1}, {"y": 2}]}, {"b": 1}]
+    assert good('[{"a": 1},\n{"b": 2\n,{"c": 3},\n{"d": 4}]') == [{"a": 1}, {"c": 3}, {"d": 4}]
+    assert jsonrepair.recover('{\n  "k": bad,\n  "e": [\n    {"x": 1}\n  ]\n}\n{"b": 1}')[1:] == [('{"b": 1}', None)]
+
+
 def test_schema_guards(spark):
     df = spark.createDataFrame([("2019a", "7")], "y string, n string")
     with pytest.raises(ValueError, match="claim_id"):
