@@ -1,4 +1,4 @@
-"""Which file a citation means: three algorithms, each an equi-join on tokens instead of a nested loop over all files."""
+"""Which file a citation means: three algorithms, each an equi-join on tokens or pieces instead of a nested loop over all files."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.scalars import author_key, author_variants, basename, candidate_names, first_year, mined_authors, norm_lead, norm_stem, stem, surname_key, year_digits
+from claimloom.session import cut
 
 
 def inventory(files: DataFrame, path: str = "path") -> DataFrame:
@@ -18,25 +19,33 @@ def year_base(c: Column) -> Column:
     return F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), r"(\d{4})", 1), F.lit(""))
 
 
+def contained(variants: DataFrame, stems: DataFrame) -> DataFrame:
+    """variants(v), stems(stem_norm, ...) -> v, as_word and the stems' columns for each v inside a stem. They meet on the first four
+    letters of v, or all of a shorter one, which a stem that holds v has at some place."""
+    at = F.sequence(F.lit(1), F.greatest(F.length("stem_norm"), F.lit(1)))
+    pieces = F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(*[F.substr("stem_norm", p, F.lit(n)) for n in range(1, 5)]))))
+    met = variants.withColumn("piece", F.substr("v", F.lit(1), F.lit(4))).join(stems.withColumn("piece", F.explode(pieces)), "piece").drop("piece")
+    as_word = F.contains(F.concat(F.lit("_"), "stem_norm", F.lit("_")), F.concat(F.lit("_"), "v", F.lit("_")))
+    return met.filter(F.contains("stem_norm", F.col("v"))).withColumn("as_word", as_word)
+
+
 def weighted(claims: DataFrame, files: DataFrame) -> DataFrame:
-    """claim_id -> path, score. Year equal +10, unequal out; primary key as a word +4; other variants as words +2 each; best, at least
-    2, ties by path. A file can only score by a word it shares with the claim or by its year, so claims meet files on words and years."""
+    """claim_id -> path, score. Year equal +10, unequal out; primary key as a word +4, inside one +2; other variants as words +2 each,
+    inside one +1; best, at least 2, ties by path. A file scores by the variants its stem holds and by its year: claims meet files on
+    variant and year, and the first file of their year, which stands for all that have nothing but the year."""
     want = F.coalesce(first_year(F.col("citation_text")), F.lower("citation_year"), F.lower("primary_mentioned_year"))
     variants = F.array_distinct(F.concat(author_variants(F.col("citation_author")), mined_authors(F.col("citation_text")), author_variants(F.col("primary_mentioned_author"))))
-    c = claims.select("claim_id", year_base(want).alias("want"), author_key(F.col("citation_author")).alias("primary"), variants.alias("variants"))
-    f = files.select("path", F.concat(F.lit("_"), "stem_norm", F.lit("_")).alias("padded"), "stem_norm", year_base(F.col("year")).alias("have"))
-    words = f.select("path", F.explode(F.array_distinct(F.split("stem_norm", "_"))).alias("word"))
-    asked = c.select("claim_id", F.explode(F.array_distinct(F.flatten(F.transform("variants", lambda v: F.split(v, "_"))))).alias("word"))
-    met = asked.join(words, "word").select("claim_id", "path").distinct()
-    pairs = met.join(c, "claim_id").join(f, "path").filter(F.col("want").isNull() | F.col("have").isNull() | (F.col("want") == F.col("have")))
-    as_word = lambda v: F.contains(F.col("padded"), F.concat(F.lit("_"), v, F.lit("_")))
-    others = F.filter("variants", lambda v: (v != F.col("primary")) & (v != ""))
-    score = (
-        F.when(F.col("want") == F.col("have"), 10).otherwise(0)
-        + F.when(F.col("primary") == "", 0).when(as_word(F.col("primary")), 4).when(F.contains("stem_norm", F.col("primary")), 2).otherwise(0)
-        + F.aggregate(others, F.lit(0), lambda a, v: a + F.when(as_word(v), 2).when(F.contains(F.col("stem_norm"), v), 1).otherwise(0))
-    )
-    scored = pairs.select("claim_id", "path", score.alias("score")).filter("score >= 2")
+    c = cut(claims.select("claim_id", year_base(want).alias("want"), author_key(F.col("citation_author")).alias("primary"), variants.alias("variants")))
+    f = files.select("path", "stem_norm", year_base(F.col("year")).alias("have"))
+    # a claim's year meets files of that year and of none (?); a claim of no year meets all (*)
+    asked = c.select("claim_id", "want", "primary", F.explode("variants").alias("v")).filter("v <> ''")
+    asked = asked.withColumn("on_year", F.explode(F.when(F.col("want").isNull(), F.array(F.lit("*"))).otherwise(F.array("want", F.lit("?")))))
+    hits = contained(asked.select("v").distinct(), f).withColumn("on_year", F.explode(F.array(F.coalesce("have", F.lit("?")), F.lit("*"))))
+    points = F.when(F.col("v") == F.col("primary"), F.when(F.col("as_word"), 4).otherwise(2)).otherwise(F.when(F.col("as_word"), 2).otherwise(1))
+    year = F.when(F.col("on_year") == F.col("want"), 10).otherwise(0)
+    named = asked.join(hits, ["v", "on_year"]).groupBy("claim_id", "path").agg((F.sum(points) + F.max(year)).cast("int").alias("score"))
+    first = f.groupBy(F.col("have").alias("want")).agg(F.min("path").alias("path"))
+    scored = named.filter("score >= 2").unionByName(c.join(first, "want").select("claim_id", "path", F.lit(10).alias("score")))
     return scored.groupBy("claim_id").agg(F.min_by(F.struct("path", "score"), F.struct((-F.col("score")).alias("s"), "path")).alias("b")).select("claim_id", "b.path", "b.score")
 
 

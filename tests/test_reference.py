@@ -144,6 +144,18 @@ def test_resolution(spark):
     assert resolve.strict(c, inv, {("mbele", "2019"): "Mbele_2018.pdf"}).filter("mapping_note = 'override'").count() == 1
 
 
+def test_weighted_without_a_common_word(spark):
+    inv = resolve.inventory(spark.createDataFrame([(f"p/{n}.pdf",) for n in ["Twendembele_2018", "Abc_2018", "Zed_2018", "Vandam_Lee", "Oneword_1999"]], "path string"))
+    rows = [("inside", "Mbele", "2018"), ("year", "Nobody", "2018"), ("undated", "Neword", None), ("word", "Lee", "2001"), ("over", "Dam Le", "2001"), ("none", "Nobody", "2002"), ("other", "Lee", "1999")]
+    c = spark.createDataFrame([(k, a, y, f"({a}, {y})" if y else a) for k, a, y in rows], "claim_id string, citation_author string, citation_year string, citation_text string")
+    c = c.withColumns({"primary_mentioned_author": F.lit(None).cast("string"), "primary_mentioned_year": F.lit(None).cast("string")})
+    got = {r.claim_id: (r.path, r.score) for r in resolve.weighted(c, inv).collect()}
+    assert got == {
+        "inside": ("p/Twendembele_2018.pdf", 12), "year": ("p/Abc_2018.pdf", 10), "undated": ("p/Oneword_1999.pdf", 2), "word": ("p/Vandam_Lee.pdf", 4),
+        "over": ("p/Vandam_Lee.pdf", 3), "other": ("p/Oneword_1999.pdf", 10),
+    }
+
+
 def test_reports(spark):
     v = spark.createDataFrame([("r", "s", "A", "1"), ("r", None, "A", "2"), (None, "s", "B", "3")], "review_id string, section string, verdict string, claim_id string")
     got = sorted((r.level, r.verdict, r["count"]) for r in reports.multi_level_counts(v, [("overall", []), ("review", ["review_id"]), ("section", ["review_id", "section"])], "verdict").collect())
