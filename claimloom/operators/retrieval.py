@@ -18,7 +18,8 @@ EVIDENCE = ["claim_id", "page_no", "win_no", "text", "score", "tier"]
 
 
 def fuzzy_top_k(claims: DataFrame, windows: DataFrame, source_key: str, k: int = 5) -> DataFrame:
-    """claim_id, page_no, win_no, text, score, rank: the k best windows of each claim's source; ties by page and window."""
+    """claim_id, page_no, win_no, text, score, rank: the k best windows of each claim's source by the ratio itself, of which score is the
+    whole part; ties by page and window."""
     c = claims.select("claim_id", source_key, F.col("claim_text").alias("q"), token_sets(F.col("claim_text")).alias("qt"))
     w = windows.select(source_key, "page_no", "win_no", "text", token_sets(F.col("text")).alias("wt"))
     native, bound = token_set_bounds(F.col("qt"), F.col("wt"))
@@ -27,9 +28,9 @@ def fuzzy_top_k(claims: DataFrame, windows: DataFrame, source_key: str, k: int =
     pairs = pairs.repartition(int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions")), "claim_id")
     per_claim = Window.partitionBy("claim_id")
     floor = F.element_at(F.slice(F.sort_array(F.collect_list("low").over(per_claim), asc=False), 1, k), -1)  # the k-th best low bound among one source's windows
-    kept = pairs.withColumn("floor", floor).filter("high >= floor").withColumn("score", F.floor(token_set_ratio_udf("q", "text")).cast("int"))
-    rank = F.row_number().over(per_claim.orderBy(F.desc("score"), "page_no", "win_no"))
-    return kept.withColumn("rank", rank).filter(F.col("rank") <= k).select("claim_id", "page_no", "win_no", "text", "score", "rank")
+    kept = pairs.withColumn("floor", floor).filter("high >= floor").withColumn("ratio", token_set_ratio_udf("q", "text"))
+    rank = F.row_number().over(per_claim.orderBy(F.desc("ratio"), "page_no", "win_no"))
+    return kept.withColumn("score", F.floor("ratio").cast("int")).withColumn("rank", rank).filter(F.col("rank") <= k).select("claim_id", "page_no", "win_no", "text", "score", "rank")
 
 
 def exact_tier(claims: DataFrame, page_rows: DataFrame, windows: DataFrame, source_key: str) -> DataFrame:
@@ -49,11 +50,11 @@ def evidence(claims: DataFrame, page_rows: DataFrame, windows: DataFrame, offset
     """claim_id, evidence: at most k items in tier order. compat: the fuzzy tier may repeat windows of the other tiers."""
     t1 = exact_tier(claims, page_rows, windows, source_key)
     t2 = stated_tier(claims, offsets, windows, source_key).join(t1.select("claim_id", "page_no", "win_no"), ["claim_id", "page_no", "win_no"], "left_anti")
-    t3 = fuzzy_top_k(claims, windows, source_key, k).withColumn("tier", F.lit(3)).drop("rank")
+    t3 = fuzzy_top_k(claims, windows, source_key, k).withColumn("tier", F.lit(3)).withColumnRenamed("rank", "near")
     if not compat:
         t3 = t3.join(t1.select("claim_id", "page_no", "win_no").union(t2.select("claim_id", "page_no", "win_no")), ["claim_id", "page_no", "win_no"], "left_anti")
-    rows = t1.unionByName(t2).unionByName(t3)
-    order = Window.partitionBy("claim_id").orderBy("tier", F.when(F.col("tier") == 3, -F.col("score")).otherwise(0), "page_no", "win_no")
+    rows = t1.unionByName(t2).withColumn("near", F.lit(0)).unionByName(t3)
+    order = Window.partitionBy("claim_id").orderBy("tier", "near", "page_no", "win_no")
     top = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     item = F.struct("rank", page_label(F.col("page_no"), F.col("page_no")).alias("page_range"), "text", "score")
     got = top.groupBy("claim_id").agg(F.array_sort(F.collect_list(item)).alias("items"))  # at most k a claim

@@ -118,6 +118,16 @@ def test_evidence_tiers(spark):
     assert literal == {"c": 5, "d": 3}
 
 
+def test_top_k_by_the_ratio_itself(spark):
+    pages = spark.createDataFrame([("s", 1, 0, "a" * 111), ("s", 2, 1, "a" * 112), ("s", 3, 2, "other words")], "stem string, page_no int, page_ord int, text string")
+    claims = spark.createDataFrame([("c", "s", "a" * 200, "3", False)], "claim_id string, stem string, claim_text string, stated_page string, is_quote boolean")
+    assert [int(token_set_ratio("a" * 200, "a" * n)) for n in (111, 112)] == [71, 71]
+    w = textops.windows(pages, "stem")
+    assert [(r.page_no, r.score) for r in retrieval.fuzzy_top_k(claims, w, "stem", 1).collect()] == [(2, 71)]
+    off = spark.createDataFrame([("s", 0)], "stem string, logical_minus_pdf_offset int")
+    assert [(e.page_range, e.score) for e in retrieval.evidence(claims, pages, w, off, "stem", 2).first().evidence] == [("3", 100), ("2", 71)]
+
+
 def test_offsets(spark):
     pages = spark.createDataFrame([("s", k, k - 1, f"text number {k} alpha{k}") for k in range(1, 5)], "stem string, page_no int, page_ord int, text string")
     claims = spark.createDataFrame([("a", "s", "“alpha3”", "0"), ("b", "s", "“alpha4”", "2-3"), ("c", "s", "“zzz”", "9"), ("d", "s", "no", "1")], "claim_id string, stem string, claim_text string, stated_page string")
