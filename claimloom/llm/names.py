@@ -6,7 +6,8 @@
    key. Surnames: the phonetic code of the sorted letters' classes together with each one-letter deletion, so that a slip leaves a common
    key; such a block holds only strings one letter away from one another and is bounded by their length.
 3. Pairs in a block are compared with Jaro-Winkler and one-slip edit distance. A misspelling is rare: a surname is taken for one of
-   another only if it stands in one form and the other in no fewer; a word only if it occurs in few names.
+   another only if it stands in one form and the other in no fewer, or, also with more forms or up to four letters, if the other stands
+   in twice as many and has its initials and given names (a short one shares a given name); a word only if it occurs in few names.
 4. Accepted pairs are clustered by connected components, surnames into families and organisations into entities. In a family, given
    names and initials part the persons; a form without any joins them only if there is but one. Abbreviated names and acronyms join the
    organisation with their initials if there is but one.
@@ -40,6 +41,8 @@ NICKNAMES = {
 }
 GIVEN = {n: full for full, short in NICKNAMES.items() for n in (full, *short.split())}
 TITLES = {"dr", "prof", "professor", "mr", "mrs", "ms", "sir", "sr", "sra", "dra"}
+# Fixed value: a surname in several forms is a misspelling only of one in at least so many times as many.
+RARER = 2
 SMALL = {"the", "of", "and", "for", "a"}
 _CLASSES = str.maketrans("bpcgjkqsxzdtlmnrfvwaeiou", "112222222233455677700000")
 
@@ -193,20 +196,36 @@ def short_for(short: pd.Series, full: pd.Series) -> pd.Series:
     return pd.Series([len(a) == len(b) and all(abbreviates(x, y) or one_slip(x, y) for x, y in zip(a, b)) for a, b in zip(short, full)])
 
 
+def agreement(persons: DataFrame, slips: DataFrame) -> DataFrame:
+    """slip, base, agree, same_given: are all initials of the slip initials of the base, with no other given name where the base has one,
+    and do both share a given name? Slips without an initial give no row."""
+    said = persons.filter("fi IS NOT NULL").select("surname", "fi", "given").distinct()
+    by_fi = said.groupBy(F.col("surname").alias("base"), "fi").agg(F.count("given").alias("n_given"))
+    by_given = said.filter("given IS NOT NULL").select(F.col("surname").alias("base"), "fi", "given", F.lit(True).alias("same"))
+    rows = slips.select("slip", "base").join(said.withColumnRenamed("surname", "slip"), "slip").join(by_fi, ["base", "fi"], "left").join(by_given, ["base", "fi", "given"], "left")
+    same = F.coalesce("same", F.lit(False))
+    fits = F.col("n_given").isNotNull() & (F.col("given").isNull() | (F.col("n_given") == 0) | same)
+    return rows.groupBy("slip", "base").agg(F.bool_and(fits).alias("agree"), F.bool_or(same).alias("same_given"))
+
+
 def surname_families(persons: DataFrame) -> DataFrame:
     """surname -> family, by connected components of accepted misspellings."""
     stats = cut(persons.groupBy("surname").agg(F.countDistinct("form").alias("forms"), F.countDistinct("fi").alias("n_fi"), F.min("fi").alias("one_fi")))
-    keys = stats.filter(F.length("surname") >= 5).select("surname", F.explode(deletions("surname")).alias("key"))
+    keys = stats.filter(F.length("surname") >= 2).select("surname", F.explode(deletions("surname")).alias("key"))
     pairs = keys.alias("x").join(keys.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.surname") < F.col("y.surname"))).select(F.col("x.surname").alias("a"), F.col("y.surname").alias("b")).distinct()
     initials = persons.filter("fi IS NOT NULL").select("surname", "fi").distinct()
     sided = pairs.filter(similar("a", "b")).join(stats.select(F.col("surname").alias("a"), F.col("forms").alias("fa"), F.col("n_fi").alias("na"), F.col("one_fi").alias("ia")), "a")
     sided = sided.join(stats.select(F.col("surname").alias("b"), F.col("forms").alias("fb"), F.col("n_fi").alias("nb"), F.col("one_fi").alias("ib")), "b")
-    # the rarer is the misspelling: one form only
+    # the rarer is the misspelling
     flip = (F.col("fa") < F.col("fb")) | ((F.col("fa") == F.col("fb")) & (F.col("a") > F.col("b")))
     pick = lambda x, y: F.when(flip, F.col(x)).otherwise(F.col(y))
     slips = sided.select(pick("a", "b").alias("slip"), pick("b", "a").alias("base"), pick("fa", "fb").alias("slip_forms"), pick("fb", "fa").alias("base_forms"), pick("na", "nb").alias("slip_n"), pick("ia", "ib").alias("slip_fi"), pick("nb", "na").alias("base_n"))
-    slips = slips.filter("slip_forms = 1").join(initials.select(F.col("surname").alias("base"), F.col("fi").alias("slip_fi"), F.lit(True).alias("known")), ["base", "slip_fi"], "left")
-    slips = slips.filter("slip_n = 0 OR base_n = 0 OR known")
+    slips = slips.join(agreement(persons, slips), ["slip", "base"], "left").join(initials.select(F.col("surname").alias("base"), F.col("fi").alias("slip_fi"), F.lit(True).alias("known")), ["base", "slip_fi"], "left")
+    # one form of a long surname need not contradict; several forms, or a short surname, must be far rarer and agree, a short one in a given name
+    short = F.least(F.length("slip"), F.length("base")) <= 4
+    single = (F.col("slip_forms") == 1) & ~short & ((F.col("slip_n") == 0) | (F.col("base_n") == 0) | F.col("known"))
+    agreed = (F.col("slip_forms") * RARER <= F.col("base_forms")) & F.col("agree") & (~short | F.col("same_given"))
+    slips = slips.filter(single | agreed)
     best = slips.groupBy("slip").agg(F.max_by("base", F.struct("known", "base_forms", "base")).alias("base"))
     comp = connected_components(stats.select(F.col("surname").alias("node")), best.select(F.col("slip").alias("a"), F.col("base").alias("b")))
     return comp.select(F.col("node").alias("surname"), F.col("component").alias("family"))

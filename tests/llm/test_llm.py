@@ -47,6 +47,20 @@ def test_link_names(spark):
     assert len(pairs) == sum(len(g) * (len(g) - 1) // 2 for g in groups) and all(a < b for a, b in pairs)
 
 
+def test_slips_in_two_forms_and_in_short_surnames(spark):
+    groups = [
+        ["Isabella Vinulumi", "I. Vinulumi", "Vinulumi, I. T.", "Vinulumi", "Isabella Vniulumi", "Vniulumi", "Izzy T. Vinulumi"],
+        ["Robert Smith", "R. Smith", "R. N. Smith", "Smith, Bob N.", "Bob Smth"],
+        ["Robert Karo", "R. Karo", "R. N. Karo"], ["Nicholas Kano"], ["R. Kavo"],
+        ["Thomas Dolavi", "T. Dolavi", "T. N. Dolavi", "Dolavi"], ["Peter Dolawi", "Susan Dolawi"],
+    ]
+    got = {r.name: r.entity for r in names.link_names(spark.createDataFrame([(n,) for g in groups for n in g], "name string")).collect()}
+    family = lambda n: got[n].split("|")[1]
+    assert family("Isabella Vniulumi") == family("Vniulumi") == family("Vinulumi") and got["Isabella Vniulumi"] == got["Isabella Vinulumi"]
+    assert got["Bob Smth"] == got["Robert Smith"]
+    assert len({family(n) for n in ("Robert Karo", "Nicholas Kano", "R. Kavo")}) == 3 and family("Peter Dolawi") != family("Dolavi")
+
+
 def test_link_names_empty(spark):
     assert names.link_names(spark.createDataFrame([], "name string")).count() == 0
     assert names.link_names(spark.createDataFrame([(None,), (" ",)], "name string")).count() == 0
