@@ -16,7 +16,9 @@ read, whatever their length.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from re import _constants as sre
+from re import _parser as sre_parser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -57,34 +59,84 @@ NOTICE = re.compile(
     r"|الصفحة غير موجودة|(?:تفعيل|فعّل|تمكين) (?:جافا|javascript)|पृष्ठ नहीं मिला|जावास्क्रिप्ट|ไม่พบหน้า|เปิดใช้งาน (?:javascript|จาวา)|ገጹ አልተገኘም",
     re.I,
 )
-TOLD = re.compile(
-    r"\b(?:that|noted|complained|asked (?:them|us|him|her)|reported|said|showed|explained|ended in|visits to|officers?|auditors?|trainers?|interviewees?|because|when|during|were|les agents|los funcionarios|os técnicos|die beamten)\b[^.\n]*", re.I
-)
-# Each notice and each field text holds one of these (lower case); a text without any needs no closer look for them.
-NOTICE_KEYS = (
-    "javascript", " script", "scripts are", "scripts is", "script are", "script is", "cookies", "browser", "you are", "expired", "sign in again", "too many", "unavailable", "under maintenance", "undergoing maintenance", "http", "error", "status", "not found", "not be found", "cannot be found", "forbidden", "bad request", "internal server", "unauthorized",
-    "gateway", "gone", "denied", "exception", "traceback", "warning", "refused", "could not load", "went wrong", "nullpointer", "has been logged", "introuvable", "non trouvée", "erreur", "página", "seite", "页面", "网页", "启用", "开启",
-    "首页", "访问", "スクリプト", "ページ", "服务", "الصفحة", "جافا", "पृष्ठ", "जावा", "ไม่พบ", "จาวา", "ገጹ",
-)
-FIELD_KEYS = ("click", "choose an item", "your text", "add a ", "replace this", "tbd", "summary to follow", "insert text", "insert title", "insert name", "compléter", "completar", "preencher", "einfügen", "ejemplo", "此处", "请在此", "ここに")
+# A sentence with more words than LEAD_WORDS, or with one of these, before the notice tells of it.
+LEAD_WORDS = 6
+TOLD = re.compile(r"\b(?:that|noted|complained|asked|reported|said|showed|explained|ended in|because|when|during|were|was)\b", re.I)
+
+
+def literals_of(pattern: re.Pattern) -> list[str] | None:
+    """Lower-case texts of which every match of the pattern holds at least one, read off the parsed pattern; None if there are none."""
+
+    def least(x: set[str]) -> tuple[int, int]:
+        return min(map(len, x)), -len(x)
+
+    def of(items: Iterable) -> set[str] | None:
+        found: list[set[str]] = []
+        run = ""
+        for op, arg in [*items, (None, None)]:
+            if op is sre.LITERAL:
+                run += chr(arg).lower()
+                continue
+            if run:
+                found.append({run})
+                run = ""
+            inner = None
+            if op is sre.BRANCH:
+                parts = [of(x) for x in arg[1]]
+                inner = None if None in parts else set().union(*parts)
+            elif op is sre.SUBPATTERN:
+                inner = of(arg[3])
+            elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT) and arg[0] > 0:
+                inner = of(arg[2])
+            elif op is sre.IN and all(o is sre.LITERAL for o, _ in arg):
+                inner = {chr(c).lower() for _, c in arg}
+            if inner:
+                found.append(inner)
+        return max(found, key=least) if found else None
+
+    keys = of(sre_parser.parse(pattern.pattern, pattern.flags))
+    if keys is None:
+        return None
+    return sorted(k for k in keys if not any(k != other and other in k for other in keys))
+
+
+NOTICE_KEYS, FIELD_KEYS = literals_of(NOTICE), literals_of(FIELD_TEXT)
 PLACE_KEYS = re.compile(r"[{<\[«]|#[A-Za-z]|%%|__|MM|XX|undefined|null \(")
 WORD = re.compile(r"\w+")
 
 
+def told(lead: str) -> bool:
+    """Does what stands before a notice in its sentence make it a report on one?"""
+    return bool(TOLD.search(lead)) or len(WORD.findall(lead)) > LEAD_WORDS
+
+
+def may_hold(low: str, keys: list[str] | None) -> bool:
+    return keys is None or any(map(low.__contains__, keys))
+
+
+def folded(text: str) -> str:
+    """Lower case, as patterns without regard to case see it: they take four letters beyond ASCII for i, s and k."""
+    if not text.isascii():
+        text = text.replace("İ", "i").replace("ı", "i").replace("ſ", "s").replace("\u212a", "k")
+    return text.lower()
+
+
 def kind_of_sentence(s: str, words: list[str] | None = None, field: bool = True, notice: bool = True) -> str | None:
-    """placeholder, filler, notice or None. field, notice: may the sentence hold such a text, by the keys of the whole text?"""
+    """placeholder, filler, notice or None. field, notice: may the sentence hold such a text, as far as its whole text tells?"""
     words = [w.lower() for w in WORD.findall(s)] if words is None else words
+    low = folded(s) if field or notice else ""
+    field, notice = field and may_hold(low, FIELD_KEYS), notice and may_hold(low, NOTICE_KEYS)
     if not words:
         return None
     if PLACE_KEYS.search(s) and (m := PLACEHOLDER.search(s)) and not MENTION.search(s[: m.start()]):
         return "placeholder"
-    if field and len(words) <= 25 and (m := FIELD_TEXT.search(s)) and not MENTION.search(s[: m.start()]) and not (len(words) > 12 and TOLD.search(s[: m.start()])):
+    if field and len(words) <= 25 and (m := FIELD_TEXT.search(s)) and not MENTION.search(s[: m.start()]) and not (len(words) > 12 and told(s[: m.start()])):
         return "placeholder"
     if len(words) >= 3 and not LONG_FILLER.isdisjoint(words) and sum(w in LATIN_FILLER for w in words) >= 0.7 * len(words) and ("lorem" in words or len(words) >= 5):
         return "filler"
-    if len(words) >= 5 and sum(w in KEY_FILLER for w in words) >= 0.8 * len(words):
+    if len(words) >= 5 and not KEY_FILLER.isdisjoint(words) and sum(w in KEY_FILLER for w in words) >= 0.8 * len(words):
         return "filler"
-    if notice and (m := NOTICE.search(s.strip())) and not (m.start() > 0 and TOLD.search(s.strip()[: m.start()])):
+    if notice and (m := NOTICE.search(s.strip())) and not told(s.strip()[: m.start()]):
         return "notice"
     return None
 
@@ -95,16 +147,26 @@ def sentences_of(line: str) -> Iterator[str]:
 
 
 def classify_lines(text: str) -> list[tuple[str, int, int, int, int]]:
-    """(line, words of placeholders, of filler, of notices, of other running text) for each line with a word; [] for a text that by its
-    keys and words can hold no evidence."""
-    low = text.lower()
-    field, notice = any(k in low for k in FIELD_KEYS), any(k in low for k in NOTICE_KEYS)
-    if not field and not notice and not PLACE_KEYS.search(text):
-        words = WORD.findall(low)
-        if LONG_FILLER.isdisjoint(words) and sum(w in KEY_FILLER for w in words) < 4:
-            return []
+    """(line, words of placeholders, of filler, of notices, of other running text) for each line with a word; [] for a text without
+    evidence. Only lines that hold a literal which any match must have are cut into sentences first; the literals come from the patterns
+    themselves, so nothing is lost. Filler is looked for wherever the text has enough words of it."""
+    low = folded(text)
+    field, notice = may_hold(low, FIELD_KEYS), may_hold(low, NOTICE_KEYS)
+    words = WORD.findall(low)
+    filler = not LONG_FILLER.isdisjoint(words) or (not KEY_FILLER.isdisjoint(words) and sum(w in KEY_FILLER for w in words) >= 4)
+    place = bool(PLACE_KEYS.search(text))
+    if not (field or notice or filler or place):
+        return []
+    lines = text.split("\n")
+
+    def suspect(line: str) -> bool:
+        low = folded(line) if field or notice else ""
+        return filler or (place and bool(PLACE_KEYS.search(line))) or (field and may_hold(low, FIELD_KEYS)) or (notice and may_hold(low, NOTICE_KEYS))
+
+    if not any(suspect(x) and any(kind_of_sentence(s, None, field, notice) for s in sentences_of(x)) for x in lines):
+        return []
     out = []
-    for line in text.split("\n"):
+    for line in lines:
         n = {"placeholder": 0, "filler": 0, "notice": 0, None: 0}
         for s in sentences_of(line):
             words = [w.lower() for w in WORD.findall(s)]
@@ -119,14 +181,19 @@ def line_key(c: Column) -> Column:
     return F.xxhash64(F.lower(F.regexp_replace(F.regexp_replace(F.trim(c), r"\b[0-9a-fA-F]{6,}\b|\d+", "0"), r"\s+", " ")))
 
 
-def host_lines(documents: DataFrame, text_col: str, host_col: str) -> DataFrame:
+def host_lines(documents: DataFrame, text_col: str, host_col: str, recur_docs: int = RECUR_DOCS) -> DataFrame:
     """host, key, docs: in how many documents of the host a normalised line stands."""
     lines = documents.select(F.coalesce(F.col(host_col), F.lit("\u0001")).alias("host"), F.array_distinct(F.transform(F.split(F.col(text_col), "\n"), line_key)).alias("keys"))
-    return lines.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("docs")).filter(F.col("docs") >= RECUR_DOCS)
+    return lines.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("docs")).filter(F.col("docs") >= recur_docs)
+
 
+def find_residue(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", recur_docs: int = RECUR_DOCS, recur_share: float = RECUR_SHARE, prose_words: int = PROSE_WORDS
+) -> DataFrame:
+    """doc_id, placeholder, filler, notice, prose: words of each kind in the residual, for the documents to exclude.
 
-def find_residue(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """doc_id, placeholder, filler, notice, prose: words of each kind in the residual, for the documents to exclude."""
+    recur_docs, recur_share: a line in so many documents of a host, and in such a share of them, is boilerplate. prose_words: with so
+    many words of other running text, notices and boilerplate are no case."""
     host = F.coalesce(F.col(host_col), F.lit("\u0001"))
     cols = documents.select(F.col(id_col).cast("long").alias("doc_id"), host.alias("host"), F.col(text_col).alias("t")).filter("t <> ''")
 
@@ -141,11 +208,11 @@ def find_residue(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     found = cols.mapInPandas(run, "doc_id long, host string, line string, placeholder int, filler int, notice int, prose int")
     totals = documents.groupBy(host.alias("host")).agg(F.count("*").alias("total"))
-    recurrent = host_lines(documents, text_col, host_col).join(totals, "host").filter(F.col("docs") >= RECUR_SHARE * F.col("total")).select("host", "key", F.lit(True).alias("recurs"))
+    recurrent = host_lines(documents, text_col, host_col, recur_docs).join(totals, "host").filter(F.col("docs") >= recur_share * F.col("total")).select("host", "key", F.lit(True).alias("recurs"))
     lines = found.withColumn("key", line_key(F.col("line"))).join(recurrent, ["host", "key"], "left").withColumn("own", F.col("recurs").isNull())
     own = lambda c: F.sum(F.when(F.col("own"), F.col(c)).otherwise(0))
     docs = lines.groupBy("doc_id").agg(
         own("placeholder").alias("placeholder"), own("filler").alias("filler"), F.sum("notice").alias("notice"), own("prose").alias("prose"),
         F.sum(F.expr("placeholder + filler + notice")).alias("evidence"),
     )
-    return docs.filter((F.col("placeholder") > 0) | (F.col("filler") > 0) | ((F.col("evidence") > 0) & (F.col("prose") < PROSE_WORDS))).drop("evidence")
+    return docs.filter((F.col("placeholder") > 0) | (F.col("filler") > 0) | ((F.col("evidence") > 0) & (F.col("prose") < prose_words))).drop("evidence")

@@ -284,3 +284,49 @@ def test_find_residue(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'q' AS line", "1 AS prose")
     assert {r.doc_id for r in residue.find_residue(df).collect()} == {100, 101, 102}
     assert residue.find_residue(df.limit(0)).count() == 0
+
+
+def _one_match(items) -> list[str]:
+    """Texts, one for each alternative of a parsed pattern (a repeat as often as it must be, at least once where it may be absent)."""
+    from re import _constants as c
+
+    texts = [""]
+    for op, arg in items:
+        if op is c.LITERAL:
+            more = [chr(arg)]
+        elif op is c.BRANCH:
+            more = [t for part in arg[1] for t in _one_match(part)]
+        elif op is c.SUBPATTERN:
+            more = _one_match(arg[3])
+        elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+            more = [t * max(arg[0], 1) for t in _one_match(arg[2])] + ([""] if arg[0] == 0 else [])
+        elif op is c.IN:
+            kind, value = arg[0]
+            classes = {c.CATEGORY_DIGIT: "4", c.CATEGORY_WORD: "a"}
+            more = [chr(value) if kind is c.LITERAL else chr(value[0]) if kind is c.RANGE else classes.get(value, " ")]
+        else:
+            more = [""]
+        texts = [a + b for a in texts for b in dict.fromkeys(more)][:1000]
+    return texts
+
+
+@pytest.mark.parametrize("name", ["NOTICE", "FIELD_TEXT", "PLACEHOLDER"])
+def test_residue_filter_keeps_every_alternative(name, monkeypatch):
+    """With and without the literals that texts are filtered by, every alternative of every pattern is classed alike."""
+    from re import _parser
+
+    pattern = getattr(residue, name)
+    texts = [t for t in _one_match(_parser.parse(pattern.pattern, pattern.flags)) if pattern.search(t)]
+    assert len(texts) > 25
+    forms = [f(t) for t in texts for f in (str, str.upper, lambda x: x.replace(" ", "\xa0"), lambda x: f'"{x}"', lambda x: x.replace("i", "ı").replace("s", "ſ"))] if name != "PLACEHOLDER" else texts
+    got = [residue.classify_lines(t) for t in forms]
+    monkeypatch.setattr(residue, "NOTICE_KEYS", None)
+    monkeypatch.setattr(residue, "FIELD_KEYS", None)
+    monkeypatch.setattr(residue, "PLACE_KEYS", __import__("re").compile(""))
+    full = [residue.classify_lines(t) for t in forms]
+    assert got == full and sum(map(bool, full)) > len(texts) // 2
+
+
+@pytest.mark.parametrize("text", ["text hier eingeben", 'Please enable "scripts" to view', "enable (script)", "enable/scripts", "allow\xa0scripts"])
+def test_residue_filter_known_losses(text):
+    assert residue.classify_lines(text)
