@@ -1,4 +1,4 @@
-"""Evaluation texts leaking into training text: size-partitioned MinHash containment search, verified word by word.
+"""Evaluation texts leaking into training text: size-partitioned MinHash containment search, verified by exact shingle containment.
 
 Texts become words apart from case, punctuation, spacing, invisible characters and markup, and words become shingles of five. A short
 test item inside a long document has a tiny Jaccard similarity with the whole document, so documents are cut into overlapping blocks
@@ -6,41 +6,51 @@ of BLOCK words, any run of LEAST words lying wholly in one, and items into windo
 by their number of shingles; the larger a block against a window, the more permutations its class gets, so that containment is found
 in each class alike. A block and a window that share the minimum of any permutation make a candidate.
 
-The items' minimum keys are also folded into a bit table of fixed size (BITS, a proven bound whatever the items' number), which goes
-to the executors: block keys that no item has never leave the Python worker. The rest is an equi-join on the key. Candidate pairs are
-verified on whole texts: a run of at least LEAST words (or the whole item, if shorter) along one diagonal that begins and ends with
-equal words and has at most REPLACED of its words replaced.
+Items shorter than a window are a size class of their own, searched exactly, with no chance of a miss: up to seven words as one n-gram,
+from eight on, where one word may be replaced, as two halves of which one stays whole.
 
-Defined results: null and empty texts match nothing; items of fewer than five words have no shingle and are not searched; repeated
-documents are each reported under their own id; repeated items likewise. Work is linear in the text; no pair of documents is formed.
+The items' keys are also folded into a bit table of BITS_A_KEY bits a key, at most MAX_BITS, a proven bound: more items are gone through
+in rounds. The table goes to the executors, so block keys that no item has never leave the Python worker. The rest is an equi-join on
+the key. Candidate pairs are verified on whole texts: shingles that both hold exactly give the diagonals, and along one of them there
+must be a run of at least LEAST words (or the whole item, if shorter) that begins and ends with equal words and has at most REPLACED of
+its words replaced.
+
+Defined results: null and empty texts match nothing; an item without a word likewise; repeated documents are each reported under their
+own id; repeated items likewise. Work is linear in the text; no pair of documents is formed, and texts go through memory CHUNK
+characters at a time.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.session import cut
+
 SHINGLE, LEAST, BLOCK, STRIDE = 5, 15, 32, 16
 REPLACED = 0.14
-BITS = 1 << 23
+BITS_A_KEY, MIN_BITS, MAX_BITS = 16, 1 << 16, 1 << 27
+CHUNK = 1 << 21
 #: permutations by size class: the upper bound of shingles in a block, and the permutations that find a window of LEAST words in it
 CLASSES = ((7, 8), (14, 20), (BLOCK - SHINGLE + 1, 40))
 PERMUTATIONS = max(p for _, p in CLASSES)
 
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
+_TAG = re.compile(r"</?[A-Za-z][^<>]*+>")
 _WORD = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+")
 _RNG = np.random.default_rng(20240607)
 _MUL = _RNG.integers(1, 1 << 62, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(1, 1 << 62, PERMUTATIONS, dtype=np.uint64)
-_POS = _RNG.integers(1, 1 << 62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_POS = _RNG.integers(1, 1 << 62, LEAST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -63,12 +73,12 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return pd.util.hash_array(unique, categorize=False)[codes].astype(np.uint64)
 
 
-def shingles(hashes: np.ndarray) -> np.ndarray:
-    n = len(hashes) - SHINGLE + 1
+def shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
+    for k in range(size):
         out += hashes[k : k + n] * _POS[k]
     out ^= out >> np.uint64(31)
     return out
@@ -113,60 +123,100 @@ def block_permutations(sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def keys_of(texts: list[str | None], size: int, stride: int, every: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(text, key) of the distinct minimum keys of each text's segments. every: all permutations, as any block class may meet them."""
+def pieces(n: int) -> list[tuple[int, int]]:
+    """(start, length) of the n-grams of a short item of n words, one of which stays whole if at most REPLACED of its words are replaced."""
+    cuts = 1 + int(REPLACED * n)
+    at = [n * k // cuts for k in range(cuts + 1)]
+    return [(a, b - a) for a, b in zip(at, at[1:])]
+
+
+def gram_keys(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Keys of all n-grams of one size; they hold the size where window keys hold a permutation's number."""
+    return (shingles(hashes, size) >> np.uint64(6) << np.uint64(6)) | np.uint64(PERMUTATIONS + size)
+
+
+def keys_of(texts: list[str | None], size: int, stride: int, every: bool, grams: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, key) of the distinct minimum keys of each text's segments. every: all permutations, as any block class may meet them, and
+    for texts shorter than a window the keys of their pieces. grams: sizes of n-grams to give keys of too."""
     lists = [words_of(t) for t in texts]
     flat = word_hashes([w for x in lists for w in x])
     cuts = np.cumsum([0] + [len(x) for x in lists])
-    parts = [shingles(flat[a:b]) for a, b in zip(cuts, cuts[1:])]
+    short = np.array([every and len(x) < LEAST for x in lists], bool)
+    parts = [shingles(flat[a:b]) if not s else np.zeros(0, np.uint64) for a, b, s in zip(cuts, cuts[1:], short)]
     owner, start, end = segments(np.array([len(p) for p in parts], np.int64), size, stride)
-    if not len(owner):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    perms = np.full(len(owner), PERMUTATIONS) if every else block_permutations(end - start)
-    seg, key = min_keys(np.concatenate(parts), start, end, perms)
-    both = np.unique(np.stack([owner[seg].astype(np.uint64), key], 1), axis=0) if every else np.stack([owner[seg].astype(np.uint64), key], 1)
+    own, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    if len(owner):
+        perms = np.full(len(owner), PERMUTATIONS) if every else block_permutations(end - start)
+        seg, key = min_keys(np.concatenate(parts), start, end, perms)
+        own.append(owner[seg].astype(np.uint64))
+        keys.append(key)
+    for k in np.flatnonzero(short):
+        for at, n in pieces(len(lists[k])):
+            if n:
+                keys.append(gram_keys(flat[cuts[k] + at : cuts[k] + at + n], n))
+                own.append(np.full(len(keys[-1]), k, np.uint64))
+    for n in grams or ():
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            keys.append(gram_keys(flat[a:b], n))
+            own.append(np.full(len(keys[-1]), k, np.uint64))
+    both = np.stack([np.concatenate(own), np.concatenate(keys)], 1)
+    both = np.unique(both, axis=0) if every else both
     return both[:, 0].astype(np.int64), both[:, 1]
 
 
-def _bit(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(BITS)
+def chunked(pdf: pd.DataFrame, col: str = "text", limit: int = CHUNK) -> Iterator[pd.DataFrame]:
+    """The rows in pieces of about limit characters, so that memory does not grow with the texts of a batch."""
+    part = pdf[col].str.len().fillna(0).cumsum() // limit
+    yield from (rows for _, rows in pdf.groupby(part.to_numpy(), sort=False))
+
+
+def _bit(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(bits)
+
+
+def _has(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _bit(keys, 8 * len(table))
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def item_keys(items: DataFrame) -> DataFrame:
-    """items(item_id, text) -> item_id, key."""
+    """items(item_id, text) -> item_id, key, gram (the size of the n-gram, or null)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            own, key = keys_of(list(pdf["text"]), LEAST - SHINGLE + 1, 1, True)
-            yield pd.DataFrame({"item_id": pdf["item_id"].to_numpy()[own], "key": key.view(np.int64)})
+            for rows in chunked(pdf):
+                own, key = keys_of(list(rows["text"]), LEAST - SHINGLE + 1, 1, True)
+                gram = pd.Series((key & np.uint64(63)).astype(np.int64) - PERMUTATIONS, dtype="Int64")
+                yield pd.DataFrame({"item_id": rows["item_id"].to_numpy()[own], "key": key.view(np.int64), "gram": gram.where(gram > 0)})
 
-    return items.select("item_id", "text").mapInPandas(run, "item_id long, key long")
+    return items.select("item_id", "text").mapInPandas(run, "item_id long, key long, gram int")
 
 
-def bit_table(keys: DataFrame) -> np.ndarray:
-    """The keys' bits as a table of BITS/8 bytes; each of at most eight partitions sends one such table."""
+def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
+    """The keys' bits as a table of bits / 8 bytes; each of at most eight partitions sends one such table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(BITS, bool)
+        flags = np.zeros(bits, bool)
         for pdf in batches:
-            bits[_bit(pdf["key"].to_numpy(np.int64).view(np.uint64))] = True
-        yield pd.DataFrame({"bits": [np.packbits(bits).tobytes()]})
+            flags[_bit(pdf["key"].to_numpy(np.int64).view(np.uint64), bits)] = True
+        yield pd.DataFrame({"bits": [np.packbits(flags, bitorder="little").tobytes()]})
 
-    out = np.zeros(BITS // 8, np.uint8)
+    out = np.zeros(bits // 8, np.uint8)
     for row in keys.select("key").coalesce(8).mapInPandas(run, "bits binary").toLocalIterator():
         out |= np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(out).astype(bool)
+    return out
 
 
 def longest_run(doc: list[str], item: list[str], least: int = LEAST, replaced: float = REPLACED) -> tuple[int, int]:
     """Words and replaced words of the longest verified run, (0, 0) if there is none."""
     least = min(least, len(item))
-    if len(item) < SHINGLE or len(doc) < SHINGLE:
+    size = SHINGLE if len(item) >= LEAST else min(n for _, n in pieces(len(item)))
+    if not size or len(doc) < size:
         return 0, 0
     at = defaultdict(list)
-    for j in range(len(item) - SHINGLE + 1):
-        at[tuple(item[j : j + SHINGLE])].append(j)
-    diagonals = {i - j for i in range(len(doc) - SHINGLE + 1) for j in at.get(tuple(doc[i : i + SHINGLE]), ())}
+    for j in range(len(item) - size + 1):
+        at[tuple(item[j : j + size])].append(j)
+    diagonals = {i - j for i in range(len(doc) - size + 1) for j in at.get(tuple(doc[i : i + size]), ())}
     best = (0, 0)
     for d in sorted(diagonals):
         low, high = max(0, -d), min(len(item), len(doc) - d)
@@ -187,21 +237,30 @@ def longest_run(doc: list[str], item: list[str], least: int = LEAST, replaced: f
     return best
 
 
-def candidates(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id of the pairs that share a minimum key."""
-    keys = item_keys(items)
-    table = documents.sparkSession.sparkContext.broadcast(np.packbits(bit_table(keys)))  # BITS / 8 bytes
+def _round(documents: DataFrame, keys: DataFrame, n_keys: int, grams: list[int]) -> DataFrame:
+    bits = min(MAX_BITS, max(MIN_BITS, 1 << (BITS_A_KEY * n_keys - 1).bit_length()))
+    table = documents.sparkSession.sparkContext.broadcast(bit_table(keys, bits))  # bits / 8 bytes, at most MAX_BITS / 8
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.unpackbits(table.value).astype(bool)
         for pdf in batches:
-            own, key = keys_of(list(pdf["text"]), BLOCK - SHINGLE + 1, STRIDE, False)
-            keep = bits[_bit(key)]
-            out = pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[own[keep]], "key": key[keep].view(np.int64)})
-            yield out.drop_duplicates()
+            for rows in chunked(pdf):
+                own, key = keys_of(list(rows["text"]), BLOCK - SHINGLE + 1, STRIDE, False, grams)
+                keep = _has(table.value, key)
+                yield pd.DataFrame({"doc_id": rows["doc_id"].to_numpy()[own[keep]], "key": key[keep].view(np.int64)}).drop_duplicates()
 
     found = documents.select("doc_id", "text").filter("text <> ''").mapInPandas(run, "doc_id long, key long")
-    return found.join(keys, "key").select("doc_id", "item_id").distinct()
+    return found.join(keys.select("item_id", "key"), "key").select("doc_id", "item_id").distinct()
+
+
+def candidates(documents: DataFrame, items: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, item_id of the pairs that share a minimum key. More items than a table of max_bits can tell apart take several rounds."""
+    keys = cut(item_keys(items))
+    sizes = keys.agg(F.count("*").alias("n"), F.collect_set("gram").alias("grams")).first()  # at most LEAST sizes
+    if not sizes["n"]:
+        return keys.select(F.col("item_id").alias("doc_id"), "item_id")
+    rounds = math.ceil(BITS_A_KEY * sizes["n"] / max_bits)
+    parts = [_round(documents, keys.filter(F.pmod(F.xxhash64("item_id"), F.lit(rounds)) == r) if rounds > 1 else keys, math.ceil(sizes["n"] / rounds), sorted(sizes["grams"])) for r in range(rounds)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:

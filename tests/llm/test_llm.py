@@ -330,3 +330,38 @@ def test_residue_filter_keeps_every_alternative(name, monkeypatch):
 @pytest.mark.parametrize("text", ["text hier eingeben", 'Please enable "scripts" to view', "enable (script)", "enable/scripts", "allow\xa0scripts"])
 def test_residue_filter_known_losses(text):
     assert residue.classify_lines(text)
+
+
+def test_short_items_are_found_exactly(spark):
+    items = [(1, "alpha"), (2, "one two three four five"), (3, "k1 k2 k3 k4 k5 k6 k7 k8 k9 k10"), (4, "..."), (5, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10 a11 a12 a13 a14")]
+    docs = [(10, "x alpha y"), (11, "one two three four six"), (12, "say: One, two three FOUR five!"), (13, "z k1 k2 k3 k4 k5 zz k7 k8 k9 k10 z"), (14, "k1 k2 zz k4 k5 zz k7 k8 k9 k10"), (15, "a1 a2 a3 a4 a5 zz a7 a8 a9 a10 a11 a12 a13 a14"), (16, "alph a")]
+    got = leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(10, 1), (12, 2), (13, 3), (15, 5)}
+
+
+def test_items_in_rounds(spark):
+    rng = random.Random(9)
+    items = [(k, " ".join(f"w{rng.randint(0, 9000)}" for _ in range(30))) for k in range(60)]
+    docs = [(k, f"so {t} it is") for k, t in items]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    pairs = leakage.candidates(d, i, max_bits=1 << 17)
+    assert {(r.doc_id, r.item_id) for r in pairs.collect()} >= {(k, k) for k, _ in items}
+
+
+def test_recall_of_runs_with_two_words_replaced():
+    """The hardest case, a run of just 15 words with two of them replaced anywhere but at its ends, in the middle of other text."""
+    rng = random.Random(11)
+    found = n = 0
+    for _ in range(400):
+        item = [f"i{rng.randint(0, 10**6)}" for _ in range(40)]
+        run = item[12:27]
+        for k in rng.sample(range(1, 14), 2):
+            run[k] = "zz"
+        doc = [f"d{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 60))] + run + [f"e{rng.randint(0, 10**6)}" for _ in range(40)]
+        if leakage.longest_run(doc, item)[0]:
+            n += 1
+            a = leakage.keys_of([" ".join(item)], leakage.LEAST - leakage.SHINGLE + 1, 1, True)[1]
+            b = leakage.keys_of([" ".join(doc)], leakage.BLOCK - leakage.SHINGLE + 1, leakage.STRIDE, False)[1]
+            found += bool(np.isin(a, b).any())
+    print("recall of hardest runs", found, n)
+    assert n > 300 and found >= 0.9 * n
