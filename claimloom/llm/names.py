@@ -2,12 +2,14 @@
 
 1. Distinct strings are parsed: first-named party only, titles and "et al." off, accents and case folded; a person's surname, given
    name (through a nickname table) and initials in any order; an organisation's word set, or an acronym.
-2. Blocks. Organisations: phonetic codes of the sorted tokens, each token left out once, so that one misspelled word leaves a common
-   key. Surnames: the phonetic code of the sorted letters' classes together with each one-letter deletion, so that a slip leaves a common
-   key; such a block holds only strings one letter away from one another and is bounded by their length.
-3. Pairs in a block are compared with Jaro-Winkler and one-slip edit distance. A misspelling is rare: a surname is taken for one of
-   another only if it stands in one form and the other in no fewer, or, also with more forms or up to four letters, if the other stands
-   in twice as many and has its initials and given names (a short one shares a given name); a word only if it occurs in few names.
+2. Blocks: phonetic codes of the sorted tokens, of a surname or of an organisation. A slip in a letter changes its code in one place at
+   most, so besides the code itself each code with one sound left out is a key (in one token at a time), and two spellings one slip
+   apart always share one. Blocks of surnames are split by the first letter and again by the last, of which a slip leaves one; those
+   of organisations hold only names that agree in all tokens but one: no block grows with a frequent word.
+3. Pairs in a block are compared with Jaro-Winkler, against what one changed letter leaves of it at their length. A misspelling is rare:
+   a surname is taken for one of another only if it stands in one form and the other in no fewer, or, also with more forms or up to
+   four letters, if the other stands in twice as many and has its initials and given names (a short one shares a given name); a word
+   only if one name has it, or if the other is in twice as many.
 4. Accepted pairs are clustered by connected components, surnames into families and organisations into entities. In a family, given
    names and initials part the persons; a form without any joins them only if there is but one. Abbreviated names and acronyms join the
    organisation with their initials if there is but one.
@@ -43,7 +45,12 @@ GIVEN = {n: full for full, short in NICKNAMES.items() for n in (full, *short.spl
 TITLES = {"dr", "prof", "professor", "mr", "mrs", "ms", "sir", "sr", "sra", "dra"}
 # Fixed value: a surname in several forms is a misspelling only of one in at least so many times as many.
 RARER = 2
+ONE_LETTER = 0.79
 SMALL = {"the", "of", "and", "for", "a"}
+# Usual contractions in names of organisations that keep a vowel and may stand without a full stop.
+CONTRACTIONS = set("admin agcy assn assoc corp dept dist fdn govt inst intl natl pship univ".split())
+# Words inside a surname.
+PARTICLES = {"de", "del", "della", "da", "dos", "di", "du", "la", "le", "van", "von", "der", "den", "ter", "bin", "ibn", "al", "el"}
 _CLASSES = str.maketrans("bpcgjkqsxzdtlmnrfvwaeiou", "112222222233455677700000")
 
 PARSED = "name string, kind string, form string, surname string, given string, fi string, middle string, words array<string>, initials string"
@@ -54,16 +61,22 @@ def fold(text: str) -> str:
 
 
 def phonetic(token: str) -> str:
-    """Letter classes by sound, h and y dropped, repeats made one."""
-    code = re.sub(r"[^0-7]", "", token.translate(_CLASSES))
-    return token[:1] + re.sub(r"(.)\1+", r"\1", code)
+    """One sound class for each letter, in place; ph is f, h and y are not heard; letters of other scripts stand for themselves."""
+    return re.sub("[hy]", "", token.replace("ph", "f")).translate(_CLASSES)
 
 
-def jaro_winkler(a: str, b: str) -> float:
+def codes_with_a_slip(tokens: list[str]) -> set[str]:
+    """The phonetic codes of the sorted tokens, whole and with one sound left out of one token."""
+    codes = [phonetic(t) for t in tokens]
+    out = {" ".join(sorted(codes))}
+    for k, c in enumerate(codes):
+        out |= {" ".join(sorted([*codes[:k], c[:j] + c[j + 1 :], *codes[k + 1 :]])) for j in range(len(c))}
+    return out
+
+
+def jaro(a: str, b: str) -> float:
     if a == b:
         return 1.0
-    if not a or not b:
-        return 0.0
     reach = max(len(a), len(b)) // 2 - 1
     used = [False] * len(b)
     first = []
@@ -77,20 +90,19 @@ def jaro_winkler(a: str, b: str) -> float:
         return 0.0
     second = [c for c, u in zip(b, used) if u]
     m, t = len(first), sum(x != y for x, y in zip(first, second)) / 2
-    jaro = (m / len(a) + m / len(b) + (m - t) / m) / 3
+    return (m / len(a) + m / len(b) + (m - t) / m) / 3
+
+
+def jaro_winkler(a: str, b: str) -> float:
+    """Jaro's measure takes the first letter that fits, so it is read from both ends, and the better counts."""
+    best = max(jaro(a, b), jaro(a[::-1], b[::-1]))
     prefix = next((k for k, (x, y) in enumerate(zip(a[:4], b[:4])) if x != y), min(4, len(a), len(b)))
-    return jaro + 0.1 * prefix * (1 - jaro)
+    return best + 0.1 * prefix * (1 - best)
 
 
-def one_slip(a: str, b: str) -> bool:
-    """Equal but for one letter dropped, added, changed, or two neighbours swapped."""
-    if a == b:
-        return True
-    if abs(len(a) - len(b)) > 1:
-        return False
-    p = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-    x, y = a[p:], b[p:]
-    return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[:2] == y[1::-1] and x[2:] == y[2:])
+def alike(a: str, b: str) -> bool:
+    """Jaro-Winkler of one changed letter, even the first (1 - 0.67 / length), but not of two, even far behind (1 - 0.8 / length)."""
+    return jaro_winkler(a, b) >= 1 - ONE_LETTER / max(len(a), len(b), 1)
 
 
 def abbreviates(short: str, full: str) -> bool:
@@ -107,11 +119,18 @@ def given_name(token: str) -> str | None:
     if token in GIVEN:
         return GIVEN[token]
     if len(token) >= 5:
-        near = [full for full in NICKNAMES if one_slip(token, full)]
+        near = [full for full in NICKNAMES if alike(token, full)]
         return near[0] if len(near) == 1 else None
     return None
 
 
+def person_like(name: str, words: list[str]) -> bool:
+    """Is a name of three words and more a person's: by a particle or a known given name in front?"""
+    plain = [w.strip(".").lower() for w in words]
+    inside = plain[1:-1] if "," not in name else plain
+    return any(w in PARTICLES and words[plain.index(w)].islower() for w in inside) or plain[0] in GIVEN
+
+
 def parse_name(name: str | None) -> tuple | None:
     """A row of PARSED, or None for a blank name."""
     raw = re.sub(r"\s+", " ", fold(name or "")).strip()
@@ -125,13 +144,14 @@ def parse_name(name: str | None) -> tuple | None:
         return name, "acronym", letters.lower(), letters.lower(), None, None, None, None, letters.lower()
     partners = re.sub(r"\s*&\s*partners\b", "", inner, flags=re.I)
     real = [w for w in re.findall(r"[^\W\d_]+\.?", partners) if w.lower() not in SMALL and w.lower().strip(".") not in TITLES]
-    if len([w for w in real if len(w.strip(".")) > 1]) >= 3 and not re.search(r"&|\band\b", partners):
+    long_words = [w for w in real if len(w.strip(".")) > 1]
+    if len(long_words) >= 3 and not re.search(r"&|\band\b", partners) and not person_like(inner, real):
         flat = re.sub(r"^the ", "", partners, flags=re.I)
         m = re.match(r"^(\w+\.?) of (.+)$", flat, re.I) or re.match(r"^(\w+\.?), (.+)$", flat)
         flat = f"{m.group(2)} {m.group(1)}" if m else flat
         tokens = [w.lower() for w in re.findall(r"[^\W\d_]+\.?", flat) if w.lower() not in SMALL]
         plain = [t.strip(".") for t in tokens]
-        short = any(t.endswith(".") or not re.search(r"[aeiou]", t.strip(".")) or (len(t) >= 4 and re.search(r"(?:pship|agcy|vly|hbr|cncl)$", t)) for t in tokens)
+        short = any(t.endswith(".") or not re.search(r"[aeiou]", t.strip(".")) or t in CONTRACTIONS for t in tokens)
         return name, "short" if short else "org", " ".join(plain if short else sorted(plain)), None, None, None, None, plain, "".join(t[0] for t in plain)
     first = re.split(r"\s*(?:&|\band\b)\s*", inner)[0].strip(" ,")
     tokens = [w for w in re.findall(r"[^\W\d_]+(?:['-][^\W\d_]+)*\.?", first) if w.lower().strip(".") not in TITLES or (w.isupper() and not first.startswith(w))]
@@ -146,6 +166,7 @@ def parse_name(name: str | None) -> tuple | None:
             initials += list(bare.lower())
         else:
             long.append(bare.lower())
+    long = [w for w in long if w not in PARTICLES] or long
     if not long:
         return name, "acronym", letters.lower(), letters.lower(), None, None, None, None, letters.lower()
     given, surname = None, long[-1]
@@ -155,6 +176,8 @@ def parse_name(name: str | None) -> tuple | None:
             surname, given = long[0], g1 or long[-1]
         else:
             surname, given = long[-1], g0 or long[0]
+        if len(long) > 2:  # a second given name is an initial; a second surname is not told from one
+            initials = [long[1][0], *initials]
     fi = given[0] if given else (initials[0] if initials else None)
     middle = (initials[0] if initials else None) if given else (initials[1] if len(initials) > 1 else None)
     form = " ".join(["".join(x or "-") for x in (surname, given, fi, middle)])
@@ -173,27 +196,38 @@ def parse_names(names: DataFrame) -> DataFrame:
 
 @F.pandas_udf(T.BooleanType())
 def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([one_slip(x, y) and jaro_winkler(x, y) >= 0.85 for x, y in zip(a, b)])
+    """All words alike, one by one."""
+    return pd.Series([len(x := p.split()) == len(y := q.split()) and all(map(alike, x, y)) for p, q in zip(a, b)])
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def deletions(s: pd.Series) -> pd.Series:
-    """The phonetic block keys of a surname: itself and each one-letter deletion, each with the code of its sorted sound classes."""
-    return s.map(lambda t: sorted({f"{len(x)}:{''.join(sorted(phonetic(x)))}:{x}" for x in {t, *(t[:k] + t[k + 1 :] for k in range(len(t)))}}))
+def surname_keys(s: pd.Series) -> pd.Series:
+    """Block keys of a surname, split by its first and by its last letter."""
+    return s.map(lambda t: sorted(f"{side}:{c}" for c in codes_with_a_slip(re.split("[-' ]", t)) for side in ("^" + t[0], "$" + t[-1])))
+
 
+_LEFT_OUT = T.StructType([T.StructField(n, T.StringType()) for n in ("key", "out", "rest")])
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("out", T.StringType())])))
+
+@F.pandas_udf(T.ArrayType(_LEFT_OUT))
 def leave_one_out(words: pd.Series) -> pd.Series:
+    """For each word: keys of the codes of the other words with those of the word itself, the word, and the others in the order of their codes."""
+
     def keys(ws: list[str]) -> list[dict[str, str]]:
         ws = sorted(ws)
-        return [{"key": " ".join(sorted(phonetic(w) + w[-1:] for w in ws[:k] + ws[k + 1 :])), "out": ws[k]} for k in range(len(ws))]
+        out = []
+        for k, w in enumerate(ws):
+            rest = sorted(ws[:k] + ws[k + 1 :], key=lambda x: (phonetic(x), x))
+            code = " ".join(map(phonetic, rest))
+            out += [{"key": f"{code}|{c}", "out": w, "rest": " ".join(rest)} for c in sorted(codes_with_a_slip([w]))]
+        return out
 
     return words.map(lambda w: keys(list(w)))
 
 
 @F.pandas_udf(T.BooleanType())
 def short_for(short: pd.Series, full: pd.Series) -> pd.Series:
-    return pd.Series([len(a) == len(b) and all(abbreviates(x, y) or one_slip(x, y) for x, y in zip(a, b)) for a, b in zip(short, full)])
+    return pd.Series([len(a) == len(b) and all(abbreviates(x, y) or alike(x, y) for x, y in zip(a, b)) for a, b in zip(short, full)])
 
 
 def agreement(persons: DataFrame, slips: DataFrame) -> DataFrame:
@@ -208,10 +242,10 @@ def agreement(persons: DataFrame, slips: DataFrame) -> DataFrame:
     return rows.groupBy("slip", "base").agg(F.bool_and(fits).alias("agree"), F.bool_or(same).alias("same_given"))
 
 
-def surname_families(persons: DataFrame) -> DataFrame:
-    """surname -> family, by connected components of accepted misspellings."""
+def surname_slips(persons: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The surnames with their numbers, and a -> b of accepted misspellings."""
     stats = cut(persons.groupBy("surname").agg(F.countDistinct("form").alias("forms"), F.countDistinct("fi").alias("n_fi"), F.min("fi").alias("one_fi")))
-    keys = stats.filter(F.length("surname") >= 2).select("surname", F.explode(deletions("surname")).alias("key"))
+    keys = stats.filter(F.length("surname") >= 2).select("surname", F.explode(surname_keys("surname")).alias("key")).select("surname", F.xxhash64("key").alias("key"))
     pairs = keys.alias("x").join(keys.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.surname") < F.col("y.surname"))).select(F.col("x.surname").alias("a"), F.col("y.surname").alias("b")).distinct()
     initials = persons.filter("fi IS NOT NULL").select("surname", "fi").distinct()
     sided = pairs.filter(similar("a", "b")).join(stats.select(F.col("surname").alias("a"), F.col("forms").alias("fa"), F.col("n_fi").alias("na"), F.col("one_fi").alias("ia")), "a")
@@ -219,42 +253,47 @@ def surname_families(persons: DataFrame) -> DataFrame:
     # the rarer is the misspelling
     flip = (F.col("fa") < F.col("fb")) | ((F.col("fa") == F.col("fb")) & (F.col("a") > F.col("b")))
     pick = lambda x, y: F.when(flip, F.col(x)).otherwise(F.col(y))
-    slips = sided.select(pick("a", "b").alias("slip"), pick("b", "a").alias("base"), pick("fa", "fb").alias("slip_forms"), pick("fb", "fa").alias("base_forms"), pick("na", "nb").alias("slip_n"), pick("ia", "ib").alias("slip_fi"), pick("nb", "na").alias("base_n"))
+    slips = cut(sided.select(pick("a", "b").alias("slip"), pick("b", "a").alias("base"), pick("fa", "fb").alias("slip_forms"), pick("fb", "fa").alias("base_forms"), pick("na", "nb").alias("slip_n"), pick("ia", "ib").alias("slip_fi"), pick("nb", "na").alias("base_n")))
     slips = slips.join(agreement(persons, slips), ["slip", "base"], "left").join(initials.select(F.col("surname").alias("base"), F.col("fi").alias("slip_fi"), F.lit(True).alias("known")), ["base", "slip_fi"], "left")
     # one form of a long surname need not contradict; several forms, or a short surname, must be far rarer and agree, a short one in a given name
     short = F.least(F.length("slip"), F.length("base")) <= 4
     single = (F.col("slip_forms") == 1) & ~short & ((F.col("slip_n") == 0) | (F.col("base_n") == 0) | F.col("known"))
     agreed = (F.col("slip_forms") * RARER <= F.col("base_forms")) & F.col("agree") & (~short | F.col("same_given"))
-    slips = slips.filter(single | agreed)
-    best = slips.groupBy("slip").agg(F.max_by("base", F.struct("known", "base_forms", "base")).alias("base"))
-    comp = connected_components(stats.select(F.col("surname").alias("node")), best.select(F.col("slip").alias("a"), F.col("base").alias("b")))
-    return comp.select(F.col("node").alias("surname"), F.col("component").alias("family"))
+    best = slips.filter(single | agreed).groupBy("slip").agg(F.max_by("base", F.struct("known", "base_forms", "base")).alias("base"))
+    return stats, best.select(F.col("slip").alias("a"), F.col("base").alias("b"))
 
 
-def person_entities(persons: DataFrame) -> DataFrame:
-    """name, entity."""
-    p = cut(persons.join(surname_families(persons), "surname").select("name", "family", "given", "fi", "middle"))
+def person_entities(persons: DataFrame, families: DataFrame) -> DataFrame:
+    """families(surname, family) -> name, entity."""
+    p = cut(persons.join(families, "surname").select("name", "family", "given", "fi", "middle"))
     by_fi = p.filter("fi IS NOT NULL").groupBy("family", "fi").agg(F.countDistinct("given").alias("n_given"), F.max("given").alias("one_given"), F.countDistinct("middle").alias("n_mid"))
     by_family = by_fi.groupBy("family").agg(F.count("*").alias("n_fi"), F.max("fi").alias("only_fi"), F.max("n_given").alias("max_given"), F.max("one_given").alias("only_given"), F.max("n_mid").alias("max_mid"))
     q = p.join(by_fi, ["family", "fi"], "left").join(by_family, "family", "left")
     one = (F.col("n_fi") == 1) & (F.col("max_given") <= 1)
     given = F.when(F.col("given").isNotNull(), F.col("given")).when(F.col("n_given") == 1, F.col("one_given")).when(F.col("n_given") == 0, F.lit("-")).otherwise(F.concat(F.lit("?"), F.coalesce("middle", F.lit("-"))))
     who = F.when(F.col("fi").isNotNull(), F.concat_ws("|", "fi", given)).when(one, F.concat_ws("|", "only_fi", F.coalesce("only_given", F.lit("-")))).otherwise(F.lit("bare"))
-    return q.select("name", F.concat_ws("|", F.lit("p"), "family", who).alias("entity"))
+    return q.select("name", F.concat_ws("|", "family", who).alias("entity"))
 
 
-def organisation_entities(orgs: DataFrame, shorts: DataFrame, acronyms: DataFrame) -> DataFrame:
-    """name, entity. An acronym or abbreviation that fits no or several organisations is an entity of its own."""
-    forms = cut(orgs.groupBy("form").agg(F.first("words").alias("words"), F.first("initials").alias("initials")))
+def organisation_slips(orgs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The forms of organisations, and a -> b of those that differ in a misspelt word."""
+    forms = cut(orgs.groupBy("form").agg(F.first("words").alias("words")))
     rare = forms.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    out = forms.select("form", F.size("words").alias("n"), F.explode(leave_one_out("words")).alias("k")).select("form", "n", F.col("k.key").alias("key"), F.col("k.out").alias("word")).join(rare, "word")
-    pairs = out.alias("x").join(out.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.n") == F.col("y.n")) & (F.col("x.form") < F.col("y.form")) & ((F.least("x.df", "y.df") <= 2) | (F.least("x.df", "y.df") * 10 <= F.greatest("x.df", "y.df"))))
-    edges = pairs.filter(similar(F.col("x.word"), F.col("y.word"))).select(F.col("x.form").alias("a"), F.col("y.form").alias("b")).distinct()
-    comp = cut(connected_components(forms.select(F.col("form").alias("node")), edges).select(F.col("node").alias("form"), F.concat(F.lit("o|"), "component").alias("entity")))
+    out = forms.select("form", F.explode(leave_one_out("words")).alias("k")).select("form", F.xxhash64("k.key").alias("key"), F.col("k.out").alias("word"), F.col("k.rest").alias("rest")).join(rare, "word")
+    least, most = F.least("x.df", "y.df"), F.greatest("x.df", "y.df")
+    pairs = out.alias("x").join(out.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.form") < F.col("y.form")) & ((least == 1) | (least * RARER <= most)))
+    pairs = pairs.select(F.col("x.form").alias("a"), F.col("y.form").alias("b"), F.concat_ws(" ", "x.word", "x.rest").alias("p"), F.concat_ws(" ", "y.word", "y.rest").alias("q")).distinct()
+    return forms, pairs.filter(similar("p", "q")).select("a", "b").distinct()
+
+
+def organisation_entities(orgs: DataFrame, shorts: DataFrame, acronyms: DataFrame, comp: DataFrame) -> DataFrame:
+    """comp(form, entity) -> name, entity. An acronym or abbreviation that fits no or several organisations is an entity of its own."""
     full = cut(orgs.groupBy("form", "initials").agg(F.first("words").alias("full")).join(comp, "form").groupBy("entity", "initials").agg(F.collect_set("full").alias("fulls")))
     named = orgs.join(comp, "form").select("name", "entity")
-    short = shorts.join(full.select("initials", "entity", F.explode("fulls").alias("full")), "initials").filter(short_for("words", "full")).groupBy("name").agg(F.countDistinct("entity").alias("n"), F.min("entity").alias("entity"))
-    short = shorts.join(short.filter("n = 1").select("name", "entity"), "name", "left").select("name", F.coalesce("entity", F.concat(F.lit("s|"), "form")).alias("entity"))
+    # distinct word lists meet, not names; word by word an abbreviation begins with the first letter of what it stands for
+    asked = shorts.select("form", "words", "initials").distinct()
+    short = asked.join(full.select("initials", "entity", F.explode("fulls").alias("full")), "initials").filter(short_for("words", "full")).groupBy("form").agg(F.countDistinct("entity").alias("n"), F.min("entity").alias("entity"))
+    short = shorts.join(short.filter("n = 1").select("form", "entity"), "form", "left").select("name", F.coalesce("entity", F.concat(F.lit("s|"), "form")).alias("entity"))
     lone = full.groupBy("initials").agg(F.countDistinct("entity").alias("n"), F.min("entity").alias("entity")).filter("n = 1").select("initials", "entity")
     acro = acronyms.join(lone, "initials", "left").select("name", F.coalesce("entity", F.concat(F.lit("a|"), "form")).alias("entity"))
     return named.unionByName(short).unionByName(acro)
@@ -269,7 +308,15 @@ def link_names(names: DataFrame, name_col: str = "name") -> DataFrame:
     acronyms = parsed.filter("kind = 'acronym'").join(initials, "initials", "left_semi")
     loud = parsed.filter("kind = 'acronym'").join(initials, "initials", "left_anti")
     persons = parsed.filter("kind = 'person'").unionByName(loud)
-    return person_entities(persons).unionByName(organisation_entities(orgs, parsed.filter("kind = 'short'"), acronyms))
+    stats, slips = surname_slips(persons)
+    forms, misspelt = organisation_slips(orgs)
+    # one graph for both, so that the rounds of the components are gone through once
+    own = lambda c, kind: F.concat(F.lit(kind), F.col(c))
+    nodes = stats.select(own("surname", "p|").alias("node")).unionByName(forms.select(own("form", "o|").alias("node")))
+    edges = slips.select(own("a", "p|").alias("a"), own("b", "p|").alias("b")).unionByName(misspelt.select(own("a", "o|").alias("a"), own("b", "o|").alias("b")))
+    comp = cut(connected_components(nodes, edges))
+    part = lambda kind, key, value: comp.filter(F.startswith("node", F.lit(kind))).select(F.substr("node", F.lit(3)).alias(key), F.col("component").alias(value))
+    return person_entities(persons, part("p|", "surname", "family")).unionByName(organisation_entities(orgs, parsed.filter("kind = 'short'"), acronyms, part("o|", "form", "entity")))
 
 
 def variant_pairs(linked: DataFrame) -> DataFrame:

@@ -21,11 +21,32 @@ def test_name_forms():
 
 
 def test_distances():
-    assert names.one_slip("abcd", "abdc") and names.one_slip("abcd", "abd") and names.one_slip("abcd", "axcd") and not names.one_slip("abcd", "badc")
+    for other in ("abdce", "abde", "axcde", "xbcde", "abcdef"):
+        assert names.alike("abcde", other) and names.codes_with_a_slip(["abcde"]) & names.codes_with_a_slip([other])
+    assert not names.alike("abcde", "xbcdy") and not names.alike("abcde", "edcba")
+    assert not names.codes_with_a_slip(["solvani"]) & names.codes_with_a_slip(["darmati"]) and names.codes_with_a_slip(["van", "berk"]) == names.codes_with_a_slip(["berg", "fan"])
     assert names.jaro_winkler("martha", "marhta") == pytest.approx(0.9611, abs=1e-3) and names.jaro_winkler("", "a") == 0.0
     assert names.abbreviates("hbr", "harbour") and not names.abbreviates("hbx", "harbour")
 
 
+@given(st.lists(st.sampled_from("abcdefghilmnoprstuvz"), min_size=5, max_size=12, unique=True).map("".join), st.integers(0, 11), st.sampled_from("abdegilmnorstu"), st.sampled_from(["change", "drop", "add", "swap"]))
+def test_a_slip_leaves_a_common_block_and_is_alike(word, k, letter, how):
+    k %= len(word) - 1
+    other = {"change": word[:k] + letter + word[k + 1 :], "drop": word[:k] + word[k + 1 :], "add": word[:k] + letter + word[k:], "swap": word[:k] + word[k + 1] + word[k] + word[k + 2 :]}[how]
+    assert names.alike(word, other) or letter in word
+    if "ph" not in word + other:
+        assert names.codes_with_a_slip([word]) & names.codes_with_a_slip([other])
+    assert word[0] == other[0] or word[-1] == other[-1]
+
+
+def test_persons_of_three_words(spark):
+    p = lambda n: names.parse_name(n)[1:6]
+    assert p("Maria del Carmen Lopez")[0] == "person" and p("Maria del Carmen Lopez")[2] == "lopez" and p("Anna van der Berg")[2:4] == ("berg", "anna")
+    assert p("van der Berg, A.")[2] == "berg" and p("John P. Garcia Marquez")[0] == "person" and p("Wang, L.")[2] == "wang"
+    got = {r.name: r.entity for r in names.link_names(spark.createDataFrame([("Li Wang",), ("Wang, L.",), ("Wang, Li",), ("Wnag, Li",), ("Anna van der Berg",), ("A. van der Berg",)], "name string")).collect()}
+    assert got["Wnag, Li"] == got["Wang, Li"] and got["Anna van der Berg"] == got["A. van der Berg"]
+
+
 def test_link_names(spark):
     groups = [
         ["Robert Kamidero", "Bob Kamidero", "R. Kamidero", "Kamidero, R.", "Kamidero", "KAMIDERO ", "Kamidreo", "Dr. R. Kamidero", "Kamidero et al."],
