@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -43,6 +44,18 @@ def or_else(c: Column, other: Column) -> Column:
     return F.coalesce(F.when(c != "", c), other)
 
 
+def default_if_missing(fields: Column, key: str, default: str) -> Column:
+    """A map's value of a key, null if it is null there; the default only where the key is missing."""
+    return F.when(F.map_contains_key(fields, key), fields[key]).otherwise(F.lit(default))
+
+
+def joined(json: Column, sep: str = ";") -> Column:
+    """A JSON array of texts as one text; a value that is no array counts as the one item of one, null as none."""
+    items = F.from_json(json, "array<string>")
+    one = F.when(json.isNull() | (F.trim(json) == "null"), "").otherwise(F.regexp_replace(json, '^"|"$', ""))
+    return F.when(F.startswith(F.trim(F.coalesce(json, F.lit(""))), F.lit("[")), F.array_join(items, sep)).otherwise(one)
+
+
 def tokens(c: Column) -> Column:
     """Lower-case ASCII words of two letters and more that are no stopwords; repeats stay."""
     words = F.split(strip(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), PUNCTUATION, " ")), f"{SPACE}+")
@@ -122,13 +135,28 @@ def candidate_names(citation: Column) -> Column:
     return F.array_compact(F.array(F.when(year.isNotNull(), F.concat_ws("_", lead, year)), lead))
 
 
-# Latin letters with marks and their plain letters (what NFKD leaves when the marks are dropped).
-MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿĀāĂăĄąĆćČčĎďĒēĘęĚěĞğĪīĹĺŃńŇňŌōŐőŔŕŘřŚśŞşŠšŤťŪūŮůŰűŹźŻżŽž"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyyAaAaAaCcCcDdEeEeEeGgIiLlNnNnOoOoRrRrSsSsSsTtUuUuUuZzZzZz"
+def _decomposed() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that compatibility decomposition without marks makes one ASCII character, and Latin letters it makes several."""
+    one, many = {}, {}
+    for k in (*range(0xC0, 0x2200), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(k)) if not unicodedata.combining(c))
+        if plain != chr(k) and plain.isascii() and plain:
+            if len(plain) == 1:
+                one[chr(k)] = plain
+            elif plain.isalpha():
+                many[chr(k)] = plain
+    return one, many
+
+
+_ONE, _MANY = _decomposed()
 
 
 def plain_letters(c: Column) -> Column:
-    return F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), MARKED, PLAIN), r"\p{Mn}+", "")
+    """Compatibility decomposition with the marks dropped, for every character that it makes ASCII."""
+    c = F.translate(F.coalesce(c, F.lit("")), "".join(_ONE), "".join(_ONE.values()))
+    ligature = F.split(F.regexp_replace(c, f"([{''.join(_MANY)}])", "\ue000$1\ue000"), "\ue000", -1)  # few texts have one
+    parts = F.transform(ligature, lambda x: F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in _MANY.items() for v in kv]), x), x))
+    return F.regexp_replace(F.when(c.rlike(f"[{''.join(_MANY)}]"), F.array_join(parts, "")).otherwise(c), r"\p{Mn}+", "")
 
 
 def surname_key(c: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Keys under which a document keeps its rows.
-ROW_KEYS = ["records", "items", "data", "lines", "results", "rows"]
+ROW_KEYS = ["records", "items", "data", "rows", "results", "lines", "entries", "docs", "objects", "payload"]
 
 
 DECODER = json.JSONDecoder()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.config import DEFAULTS
+
 
 def multi_level_counts(df: DataFrame, levels: list[tuple[str, list[str]]], value: str) -> DataFrame:
     """Counts of value alone and within growing key lists, one pass by grouping sets; null keys of a level are dropped.
@@ -26,7 +28,7 @@ def bad_rate(df: DataFrame, keys: list[str], bad: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.avg(bad.cast("int")).alias("bad_rate"), F.count("*").alias("n"))
 
 
-def sampling_plan(df: DataFrame, rates: DataFrame, keys: list[str], key_id: str, priority: str, share: float = 0.3, least: int = 10, above: float = 0.05, salt: str = "42") -> DataFrame:
+def sampling_plan(df: DataFrame, rates: DataFrame, keys: list[str], key_id: str, priority: str, share: float = DEFAULTS.low_share, least: int = DEFAULTS.low_least, above: float = DEFAULTS.escalate_above, salt: str = DEFAULTS.sample_salt) -> DataFrame:
     """All High rows and min(n, max(least, int(share * n))) Low rows of each group, in the order of a salted hash: repeatable anywhere.
 
     The number of Low rows comes from a group count joined back, the rank from a window limited to the rows a group can give."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.scalars import author_key, author_variants, basename, candidate_names, first_year, mined_authors, norm_lead, norm_stem, stem, surname_key, year_digits
+from claimloom.config import DEFAULTS
+from claimloom.functions.scalars import author_key, author_variants, basename, blank_to_null, candidate_names, first_year, mined_authors, norm_lead, norm_stem, stem, strip, surname_key, year_digits
+from claimloom.operators.textops import citation_parts
 from claimloom.session import cut
 
 
@@ -19,6 +21,16 @@ def year_base(c: Column) -> Column:
     return F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), r"(\d{4})", 1), F.lit(""))
 
 
+def year_for_author(author: Column, citation: Column) -> Column:
+    """The year of the first part of a citation of several works that names the author; null where no part does."""
+    key = F.coalesce(author_key(author), F.lit(""))
+    padded = lambda x: F.concat(F.lit("_"), x, F.lit("_"))
+    parts = F.transform(citation_parts(citation), norm_stem)
+    mine = F.filter(parts, lambda p: F.contains(padded(p), padded(key)) | F.contains(padded(p), padded(F.replace(key, F.lit("_"), F.lit("")))))
+    years = F.filter(F.transform(mine, lambda p: first_year(p)), lambda y: y.isNotNull())
+    return F.when(key != "", F.try_element_at(years, F.lit(1)))
+
+
 def contained(variants: DataFrame, stems: DataFrame) -> DataFrame:
     """variants(v), stems(stem_norm, ...) -> v, as_word and the stems' columns for each v inside a stem. They meet on the first four
     letters of v, or all of a shorter one, which a stem that holds v has at some place."""
@@ -29,11 +41,13 @@ def contained(variants: DataFrame, stems: DataFrame) -> DataFrame:
     return met.filter(F.contains("stem_norm", F.col("v"))).withColumn("as_word", as_word)
 
 
-def weighted(claims: DataFrame, files: DataFrame) -> DataFrame:
-    """claim_id -> path, score. Year equal +10, unequal out; primary key as a word +4, inside one +2; other variants as words +2 each,
+def weighted(claims: DataFrame, files: DataFrame, compat: bool = False) -> DataFrame:
+    """claim_id -> path, score. The year is that of the part of the citation that names the author, else the claim's own, the primary
+    source's, the first in the text; compat: the first in the text comes before the claim's own. Year equal +10, unequal out; primary key as a word +4, inside one +2; other variants as words +2 each,
     inside one +1; best, at least 2, ties by path. A file scores by the variants its stem holds and by its year: claims meet files on
     variant and year, and the first file of their year, which stands for all that have nothing but the year."""
-    want = F.coalesce(first_year(F.col("citation_text")), F.lower("citation_year"), F.lower("primary_mentioned_year"))
+    mine, own, any_year = year_for_author(F.col("citation_author"), F.col("citation_text")), [F.lower(blank_to_null(F.col(c))) for c in ("citation_year", "primary_mentioned_year")], first_year(F.col("citation_text"))
+    want = F.coalesce(mine, *([any_year, *own] if compat else [*own, any_year]))
     variants = F.array_distinct(F.concat(author_variants(F.col("citation_author")), mined_authors(F.col("citation_text")), author_variants(F.col("primary_mentioned_author"))))
     c = cut(claims.select("claim_id", year_base(want).alias("want"), author_key(F.col("citation_author")).alias("primary"), variants.alias("variants")))
     f = files.select("path", "stem_norm", year_base(F.col("year")).alias("have"))
@@ -49,15 +63,25 @@ def weighted(claims: DataFrame, files: DataFrame) -> DataFrame:
     return scored.groupBy("claim_id").agg(F.min_by(F.struct("path", "score"), F.struct((-F.col("score")).alias("s"), "path")).alias("b")).select("claim_id", "b.path", "b.score")
 
 
+def fill_paths(claims: DataFrame, files: DataFrame, compat: bool = False) -> DataFrame:
+    """claim_id, source_pdf_path: a path that stands is kept with its slashes turned; only a blank one is resolved, "" if nothing fits."""
+    blank = blank_to_null(F.col("source_pdf_path")).isNull()
+    got = weighted(claims.filter(blank), files, compat).select("claim_id", F.translate("path", "\\", "/").alias("found"))
+    kept = F.when(~blank, F.translate(strip(F.col("source_pdf_path")), "\\", "/"))
+    return claims.join(got, "claim_id", "left").select("claim_id", F.coalesce(kept, "found", F.lit("")).alias("source_pdf_path"))
+
+
 def overlapping(claims: DataFrame, files: DataFrame) -> DataFrame:
     """claim_id -> path, shared: an exact stem first, else the file that shares most tokens with a candidate name; ties by path."""
     c = claims.select("claim_id", F.posexplode(candidate_names(F.col("citation_text"))).alias("cand_no", "cand"))
     f = files.select("path", F.lower(norm_lead(stem(F.col("path")))).alias("s"))
     exact = c.join(f, F.lower("cand") == F.col("s")).groupBy("claim_id").agg(F.min_by("path", F.struct("cand_no", "path")).alias("path"))
-    ct = c.select("claim_id", "cand_no", F.explode(F.array_distinct(F.split(F.lower("cand"), "_"))).alias("t")).filter("t <> ''")
+    # distinct names meet files, not claims: a frequent word is met once for each name that has it
+    ct = c.select(F.lower("cand").alias("cand")).distinct().select("cand", F.explode(F.array_distinct(F.split("cand", "_"))).alias("t")).filter("t <> ''")
     ft = f.select("path", F.explode(F.array_distinct(F.split("s", "_"))).alias("t")).filter("t <> ''")
-    shared = ct.join(ft, "t").groupBy("claim_id", "cand_no", "path").agg(F.count("*").cast("int").alias("shared"))
-    best = shared.groupBy("claim_id").agg(F.min_by(F.struct("path", "shared"), F.struct((-F.col("shared")).alias("s"), "cand_no", "path")).alias("b"))
+    shared = ct.join(ft, "t").groupBy("cand", "path").agg(F.count("*").cast("int").alias("shared"))
+    shared = shared.groupBy("cand").agg(F.min_by(F.struct("path", "shared"), F.struct((-F.col("shared")).alias("s"), "path")).alias("p")).select("cand", "p.path", "p.shared")
+    best = c.withColumn("cand", F.lower("cand")).join(shared, "cand").groupBy("claim_id").agg(F.min_by(F.struct("path", "shared"), F.struct((-F.col("shared")).alias("s"), "cand_no", "path")).alias("b"))
     both = best.select("claim_id", F.col("b.path").alias("op"), F.col("b.shared").alias("shared")).join(exact, "claim_id", "full")
     return both.select("claim_id", F.coalesce("path", "op").alias("path"), F.when(F.col("path").isNotNull(), F.lit(None)).otherwise(F.col("shared")).alias("shared"))
 
@@ -82,5 +106,5 @@ def strict(claims: DataFrame, files: DataFrame, overrides: dict[tuple[str, str],
         F.when(no_key, "").when(F.col("forced").isNotNull(), "override").when(got.isNull(), "no_exact_author_year_pdf")
         .when(old_name.isNotNull() & (old_name != got), F.concat(F.lit("corrected_from:"), old_name)).otherwise("")
     )
-    path = F.when(no_key, F.coalesce("old", F.lit(""))).otherwise(F.coalesce(F.concat(F.lit("pilot_inputs/sources_pdf/"), got), F.lit("")))
+    path = F.when(no_key, F.coalesce("old", F.lit(""))).otherwise(F.coalesce(F.concat(F.lit(f"{DEFAULTS.sources_dir}/"), got), F.lit("")))
     return joined.select("claim_id", "author_key", F.coalesce("year_key", F.lit("")).alias("year_key"), path.alias("path"), note.alias("mapping_note"))

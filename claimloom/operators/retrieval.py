@@ -1,8 +1,9 @@
 """Evidence for claims from windows of their source: exact quotation, stated page, then fuzzy top-k, in tiers capped at k.
 
 The tiers are independent of one another: slice(concat(t1, t2 without t1, t3), 1, k) is the tiered result. For the fuzzy tier each
-window's ratio is bounded from above by built-in expressions; only windows whose bound reaches the k-th best lower bound of the claim go
-through the Python scorer, which loses no window of the top k.
+window's ratio is bounded from both sides by built-in expressions, which mostly meet; only windows whose bounds leave a gap and whose
+upper one reaches the k-th best lower bound of the claim go through the Python scorer, which loses no window of the top k. Pairs are
+moved as ids and bounds; texts join those that are left.
 """
 
 from __future__ import annotations
@@ -10,27 +11,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.config import DEFAULTS
 from claimloom.functions.lcs import token_set_bounds, token_set_ratio_udf, token_sets
 from claimloom.functions.scalars import leading_page, page_label
 from claimloom.operators.textops import quote_pages
+from claimloom.session import cut
 
 EVIDENCE = ["claim_id", "page_no", "win_no", "text", "score", "tier"]
 
 
-def fuzzy_top_k(claims: DataFrame, windows: DataFrame, source_key: str, k: int = 5) -> DataFrame:
+def fuzzy_top_k(claims: DataFrame, windows: DataFrame, source_key: str, k: int = DEFAULTS.top_k) -> DataFrame:
     """claim_id, page_no, win_no, text, score, rank: the k best windows of each claim's source by the ratio itself, of which score is the
     whole part; ties by page and window."""
-    c = claims.select("claim_id", source_key, F.col("claim_text").alias("q"), token_sets(F.col("claim_text")).alias("qt"))
-    w = windows.select(source_key, "page_no", "win_no", "text", token_sets(F.col("text")).alias("wt"))
-    native, bound = token_set_bounds(F.col("qt"), F.col("wt"))
-    pairs = c.join(w, source_key).select("claim_id", "page_no", "win_no", "q", "text", native.alias("low"), bound.alias("high"))
-    # by a fixed number of partitions: the scorer is heavy for its bytes, and a partitioning by bytes would leave it to few tasks
-    pairs = pairs.repartition(int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions")), "claim_id")
+    place = [source_key, "page_no", "win_no", "_text"]
+    windows = windows.withColumn("_text", F.xxhash64("text"))  # two deliveries of a source may differ on the same page
+    c = claims.select("claim_id", source_key, token_sets(F.col("claim_text")).alias("qt"))
+    w = windows.select(*place, token_sets(F.col("text")).alias("wt"))
+    low, high = token_set_bounds(F.col("qt"), F.col("wt"))
+    pairs = c.join(w, source_key).select("claim_id", *place, low.alias("low"), high.alias("high"))
     per_claim = Window.partitionBy("claim_id")
-    floor = F.element_at(F.slice(F.sort_array(F.collect_list("low").over(per_claim), asc=False), 1, k), -1)  # the k-th best low bound among one source's windows
-    kept = pairs.withColumn("floor", floor).filter("high >= floor").withColumn("ratio", token_set_ratio_udf("q", "text"))
-    rank = F.row_number().over(per_claim.orderBy(F.desc("ratio"), "page_no", "win_no"))
-    return kept.withColumn("score", F.floor("ratio").cast("int")).withColumn("rank", rank).filter(F.col("rank") <= k).select("claim_id", "page_no", "win_no", "text", "score", "rank")
+    pairs = pairs.withColumn("nth", F.row_number().over(per_claim.orderBy(F.desc("low"))))
+    floor = F.max(F.when(F.col("nth") == k, F.col("low"))).over(per_claim)  # the k-th best lower bound; null where there are fewer windows
+    kept = cut(pairs.withColumn("floor", floor).filter("floor IS NULL OR high >= floor").drop("nth", "floor"))
+    known = kept.filter("high <= low").select("claim_id", *place, F.col("low").alias("ratio"))
+    open_ = kept.filter("high > low").join(claims.select("claim_id", F.col("claim_text").alias("q")), "claim_id").join(windows.select(*place, "text"), place)
+    # by a fixed number of partitions: the scorer is heavy for its bytes, and a partitioning by bytes would leave it to few tasks
+    open_ = open_.repartition(int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions")), "claim_id", "page_no", "win_no")
+    scored = known.unionByName(open_.select("claim_id", *place, token_set_ratio_udf("q", "text").alias("ratio")))
+    top = scored.withColumn("rank", F.row_number().over(per_claim.orderBy(F.desc("ratio"), "page_no", "win_no"))).filter(F.col("rank") <= k)
+    return top.join(windows.select(*place, "text"), place).select("claim_id", "page_no", "win_no", "text", F.floor("ratio").cast("int").alias("score"), "rank")
 
 
 def exact_tier(claims: DataFrame, page_rows: DataFrame, windows: DataFrame, source_key: str) -> DataFrame:
@@ -46,7 +55,7 @@ def stated_tier(claims: DataFrame, offsets: DataFrame, windows: DataFrame, sourc
     return c.join(windows, [source_key, "page_no"]).select("claim_id", "page_no", "win_no", "text", F.lit(100).alias("score"), F.lit(2).alias("tier"))
 
 
-def evidence(claims: DataFrame, page_rows: DataFrame, windows: DataFrame, offsets: DataFrame, source_key: str, k: int = 5, compat: bool = False) -> DataFrame:
+def evidence(claims: DataFrame, page_rows: DataFrame, windows: DataFrame, offsets: DataFrame, source_key: str, k: int = DEFAULTS.top_k, compat: bool = False) -> DataFrame:
     """claim_id, evidence: at most k items in tier order. compat: the fuzzy tier may repeat windows of the other tiers."""
     t1 = exact_tier(claims, page_rows, windows, source_key)
     t2 = stated_tier(claims, offsets, windows, source_key).join(t1.select("claim_id", "page_no", "win_no"), ["claim_id", "page_no", "win_no"], "left_anti")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.config import DEFAULTS
 from claimloom.functions.scalars import SPACE, blank_to_null, strip, straight_quotes
 
+# The patterns of a sentence's end and of a reference entry.
 SENTENCE_GAP = rf"(?<=[.!?]){SPACE}+(?=[A-Z(“\"\[])"
 SENTENCE_GAP_KEEPING_ET_AL = rf"(?<=[.!?])(?<!\bal\.(?={SPACE}{{1,9}}\()){SPACE}+(?=[A-Z(“\"\[])"
 REFERENCE_ENTRY = r"^\s*([A-Z][A-Za-z'’\-]+)[^()]*\(\s*(\d{4}[a-z]?)\s*\)"
@@ -24,17 +26,25 @@ def lines(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sections(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, line_no, section, line: the running section label of each line that is not blank."""
-    t = lines(df, key, text).select(key, "line_no", strip(F.col("line")).alias("line")).filter("line <> ''")
-    words = F.size(F.split("line", f"{SPACE}+"))
-    loud = (F.upper("line") == F.col("line")) & (F.lower("line") != F.col("line"))
-    label = (
-        F.when(F.startswith("line", F.lit("#")), F.lower(strip(F.regexp_replace("line", "^#+", ""))))
-        .when(loud & (words <= 8), F.lower("line"))
-        .when(F.endswith("line", F.lit(":")) & (words <= 8), F.lower(strip(F.regexp_replace("line", ":$", ""))))
-    )
-    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return t.withColumn("label", label).select(key, "line_no", F.coalesce(F.last("label", ignorenulls=True).over(w), F.lit("unknown")).alias("section"), "line")
+    """key, line_no, section, line: the running section label of each line that is not blank.
+
+    A label holds from its heading to the next, so a text's lines are cut at its headings, inside its own row: no shuffle, no window."""
+
+    def label(line: Column) -> Column:
+        few = F.size(F.split(line, f"{SPACE}+")) <= 8
+        loud = (F.upper(line) == line) & (F.lower(line) != line)
+        return (
+            F.when(F.startswith(line, F.lit("#")), F.lower(strip(F.regexp_replace(line, "^#+", ""))))
+            .when(loud & few, F.lower(line))
+            .when(F.endswith(line, F.lit(":")) & few, F.lower(strip(F.regexp_replace(line, ":$", ""))))
+        )
+
+    t = df.select(key, F.transform(line_array(F.col(text)), strip).alias("ls"))
+    t = t.withColumn("heads", F.filter(F.transform("ls", lambda x, k: F.struct(k.alias("at"), F.when(x != "", label(x)).alias("label"))), lambda h: h["label"].isNotNull()))
+    t = t.withColumn("heads", F.concat(F.array(F.struct(F.lit(0).alias("at"), F.lit("unknown").alias("label"))), "heads"))
+    part = F.transform("heads", lambda h, k: F.struct(h["at"].alias("at"), h["label"].alias("label"), F.coalesce(F.try_element_at("heads", k + 2)["at"], F.size("ls")).alias("to")))
+    spread = t.select(key, "ls", F.explode(part).alias("h")).select(key, "h.at", "h.label", F.posexplode(F.slice("ls", F.col("h.at") + 1, F.col("h.to") - F.col("h.at"))).alias("k", "line"))
+    return spread.filter("line <> ''").select(key, (F.col("at") + F.col("k")).alias("line_no"), F.col("label").alias("section"), "line")
 
 
 def sentence_array(text: Column, compat: bool = False) -> Column:
@@ -75,7 +85,7 @@ def pages(df: DataFrame, key: str, text: str, tidy: bool = True) -> DataFrame:
     return kept.select(key, F.col("p.no").cast("int").alias("page_no"), "page_ord", strip(F.col("p.body")).alias("text"))
 
 
-def windows(page_rows: DataFrame, key: str, width: int = 180, stride: int = 90, keep_tail: bool = False) -> DataFrame:
+def windows(page_rows: DataFrame, key: str, width: int = DEFAULTS.chunk_words, stride: int = DEFAULTS.chunk_stride, keep_tail: bool = False) -> DataFrame:
     """key, page_no, win_no, text: sliding word windows of each page. keep_tail: one more window for words no full step reaches."""
     w = page_rows.select(key, "page_no", F.when(strip(F.col("text")) == "", F.array().cast("array<string>")).otherwise(F.split(strip(F.col("text")), f"{SPACE}+")).alias("ws"))
     top = F.greatest(F.lit(0), F.size("ws") - width)

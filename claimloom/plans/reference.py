@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import scalars as X
 from claimloom.functions.lcs import token_set_bounds, token_set_ratio_udf, token_sets
-from claimloom.operators import adjudicate, citations, jsonrepair, reports, resolve, retrieval, sections, textops
+from claimloom.operators import citations, jsonrepair, reports, resolve, retrieval, sections, textops
 from claimloom.schemas import FLAGS
 from claimloom.session import table
 
@@ -90,20 +90,9 @@ def q_secondary(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_narrative(s: SparkSession, d: str) -> DataFrame:
-    """Narrative citations of a claim that has no chain, with the name and year as they stand."""
-    rows = _texts(s, d).filter("NOT claim_text ILIKE '%as cited in%'").select("claim_id", F.explode(citations.narrative(F.col("claim_text"))).alias("c")).select("claim_id", "c.*")
-    return rows.select("claim_id", "citation_text", "citation_author", "citation_year", "citation_type")
-
-
-def q_claim_fanout(s: SparkSession, d: str) -> DataFrame:
-    """One row for each sentence and citation, with a repeatable id."""
-    rows = _cited(s, d)
-    key = F.substr(F.sha2(F.concat_ws("|", "claim_id", "sent_no", "cit_no"), 256), F.lit(1), F.lit(16))
-    return rows.select(key.alias("row_id"), "claim_id", "sent_no", "cit_no", "citation_type", "citation_author", "citation_year", "is_secondary", "stated_page")
-
-
-def q_citation_types(s: SparkSession, d: str) -> DataFrame:
-    return _cited(s, d).groupBy("citation_type").agg(F.count("*").alias("n"))
+    """Narrative citations, plain or leading to the host that a chain behind them names, each with its place and page."""
+    rows = _texts(s, d).select("claim_id", F.explode(citations.narrative(F.col("claim_text"))).alias("c")).select("claim_id", "c.*")
+    return rows.select("claim_id", "citation_text", "citation_author", "citation_year", "citation_type", "primary_mentioned_author", "primary_mentioned_year", "stated_page", "span_start")
 
 
 def q_multi_citation_split(s: SparkSession, d: str) -> DataFrame:
@@ -172,35 +161,47 @@ def _low(df: DataFrame) -> DataFrame:
     return df.withColumn("stem", F.lower("stem"))
 
 
+def _asked(s: SparkSession, d: str) -> DataFrame:
+    """Claims with their own quotations and, as claims of their own, the opening words of their excerpts as quotations."""
+    own = _sourced(s, d).select("claim_id", "stem", "claim_text", "stated_page", "is_quote")
+    a = reports.last_of(table(s, d, "adjudication_inputs").select("claim_id", "source_pdf_path", "stated_page", "evidence", "built_at"), ["claim_id"], ["built_at"]).filter("trim(source_pdf_path) <> ''")
+    openings = a.select("claim_id", F.lower(X.stem(F.col("source_pdf_path"))).alias("stem"), "stated_page", F.posexplode("evidence").alias("pos", "e"))
+    text = F.concat(F.lit("It says “"), F.substr(F.regexp_replace("e.text", "\\s+", " "), F.lit(1), F.lit(30)), F.lit("” there."))
+    return own.unionByName(openings.select(F.concat_ws("#", "claim_id", "pos").alias("claim_id"), "stem", text.alias("claim_text"), "stated_page", F.lit(True).alias("is_quote")))
+
+
+def _flat(s: SparkSession, d: str) -> DataFrame:
+    """Pages as one line each, their sources in lower case as the claims' are."""
+    return _low(_pages(s, d)).withColumn("text", F.regexp_replace("text", "\\s+", " "))
+
+
+def _offsets(s: SparkSession, d: str) -> DataFrame:
+    return textops.page_offsets(_asked(s, d), _flat(s, d), "stem", "claim_text", "stated_page")
+
+
 def q_quote_pages(s: SparkSession, d: str) -> DataFrame:
-    """Pages that hold a phrase their own first sentence quotes: each page's first 40 characters asked of its whole source."""
-    p = _low(_pages(s, d))
-    asked = p.filter("length(text) > 60").select(F.concat_ws("#", "stem", "page_no").alias("claim_id"), "stem", F.concat(F.lit("It says “"), F.regexp_replace(F.substr("text", F.lit(21), F.lit(40)), "\\s+", " "), F.lit("” there.")).alias("claim_text"))
-    flat = p.withColumn("text", F.regexp_replace("text", "\\s+", " "))
-    return textops.quote_pages(asked, flat, "claim_id", "stem", "claim_text").select("claim_id", "stem", "page_no")
+    return textops.quote_pages(_asked(s, d), _flat(s, d), "claim_id", "stem", "claim_text").select("claim_id", "stem", "page_no")
+
+
+def q_quote_hits(s: SparkSession, d: str) -> DataFrame:
+    """Every claim that quotes, with the number of pages of its source that hold one of its quotations."""
+    asked = _asked(s, d).filter(F.size(textops.quotation_array(F.col("claim_text"))) > 0).select("claim_id", "stem")
+    return asked.join(q_quote_pages(s, d).groupBy("claim_id").agg(F.count("*").alias("pages")), "claim_id", "left").select("claim_id", "stem", F.coalesce("pages", F.lit(0)).alias("pages"))
 
 
 def q_page_offsets(s: SparkSession, d: str) -> DataFrame:
-    """Each page asked for under a printed number that is off by the length of its source's name."""
-    p = _low(_pages(s, d))
-    asked = p.filter("length(text) > 60").select(
-        F.concat_ws("#", "stem", "page_no").alias("claim_id"), "stem", (F.col("page_no") + F.length("stem")).cast("string").alias("stated_page"),
-        F.concat(F.lit("It says “"), F.regexp_replace(F.substr("text", F.lit(21), F.lit(40)), "\\s+", " "), F.lit("” there.")).alias("claim_text"),
-    )
-    flat = p.withColumn("text", F.regexp_replace("text", "\\s+", " "))
-    return textops.page_offsets(asked, flat, "stem", "claim_text", "stated_page")
+    return _offsets(s, d)
 
 
 def q_stated_page_evidence(s: SparkSession, d: str) -> DataFrame:
+    """Only sources with an offset, which quotations found with a stated page give."""
     w = _low(textops.windows(_pages(s, d), "stem"))
-    offsets = w.select("stem").distinct().withColumn("logical_minus_pdf_offset", F.lit(0))
-    return retrieval.stated_tier(_sourced(s, d), offsets, w, "stem").select("claim_id", "page_no", "win_no", "score")
+    return retrieval.stated_tier(_asked(s, d), _offsets(s, d), w, "stem").select("claim_id", "page_no", "win_no", "score")
 
 
 def q_exact_evidence(s: SparkSession, d: str) -> DataFrame:
-    p = _low(_pages(s, d)).withColumn("text", F.regexp_replace("text", "\\s+", " "))
-    asked = p.filter("length(text) > 60").select(F.concat_ws("#", "stem", "page_no").alias("claim_id"), "stem", F.lit(True).alias("is_quote"), F.concat(F.lit("It says “"), F.substr("text", F.lit(21), F.lit(40)), F.lit("” there.")).alias("claim_text"))
-    return retrieval.exact_tier(asked, p, textops.windows(p, "stem"), "stem").select("claim_id", "page_no", "win_no", "score")
+    p = _flat(s, d)
+    return retrieval.exact_tier(_asked(s, d), p, textops.windows(p, "stem"), "stem").select("claim_id", "page_no", "win_no", "score")
 
 
 def q_topk_evidence(s: SparkSession, d: str) -> DataFrame:
@@ -209,16 +210,14 @@ def q_topk_evidence(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_evidence(s: SparkSession, d: str) -> DataFrame:
-    """All three tiers."""
-    p = _low(_pages(s, d))
-    c = _sourced(s, d)
-    w = textops.windows(p, "stem")
-    offsets = p.select("stem").distinct().withColumn("logical_minus_pdf_offset", F.lit(0))
-    return retrieval.evidence(c, p, w, offsets, "stem").select("claim_id", F.transform("evidence", lambda e: F.struct(e["page_range"].alias("page_range"), e["score"].alias("score"))).alias("evidence"))
+    """All three tiers, the second by the offsets that the first stage found."""
+    p = _flat(s, d)
+    got = retrieval.evidence(_sourced(s, d), p, textops.windows(p, "stem"), _offsets(s, d), "stem")
+    return got.select("claim_id", F.transform("evidence", lambda e: F.struct(e["page_range"].alias("page_range"), e["score"].alias("score"))).alias("evidence"))
 
 
 def _claim_evidence(s: SparkSession, d: str) -> DataFrame:
-    a = table(s, d, "adjudication_inputs").select("claim_id", "claim_text", "evidence").dropDuplicates(["claim_id"])
+    a = reports.last_of(table(s, d, "adjudication_inputs").select("claim_id", "claim_text", "evidence", "built_at"), ["claim_id"], ["built_at"])
     return a.select("claim_id", "claim_text", F.posexplode("evidence").alias("pos", "e")).select("claim_id", "pos", "claim_text", F.col("e.text").alias("text"))
 
 
@@ -252,9 +251,12 @@ def q_tfidf_section(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_section_fallback(s: SparkSession, d: str) -> DataFrame:
-    """Claims reduced to their year: no common term, so the title or else the first section decides."""
-    c = _doc_claims(s, d).withColumn("claim_text", F.regexp_extract("claim_text", r"(\d{4})[a-z]?\s*\)", 1))
-    return sections.match_sections(c, _doc_sections(s, d).withColumn("body", F.regexp_replace("body", "[0-9]", " "))).select("claim_id", "sec_no", "title", "score")
+    """Each section's own title asked as a claim of a review whose sections have no bodies, and the claims' years: titles decide, else the
+    first section."""
+    secs = _doc_sections(s, d).withColumn("body", F.lit(""))
+    c = _doc_claims(s, d).select("review_id", "claim_id", F.regexp_extract("claim_text", r"(\d{4})[a-z]?\s*\)", 1).alias("claim_text"))
+    titles = secs.select("review_id", F.concat_ws("#t", "review_id", "sec_no").alias("claim_id"), F.col("title").alias("claim_text"))
+    return sections.match_sections(c.unionByName(titles), secs).select("claim_id", "sec_no", "title", "score")
 
 
 # ---------------------------------------------------------------- resolution
@@ -268,14 +270,6 @@ def q_file_inventory(s: SparkSession, d: str) -> DataFrame:
     return _files(s, d)
 
 
-def q_resolve_weighted(s: SparkSession, d: str) -> DataFrame:
-    return resolve.weighted(_claims(s, d), _files(s, d))
-
-
-def q_resolve_overlap(s: SparkSession, d: str) -> DataFrame:
-    return resolve.overlapping(_claims(s, d), _files(s, d))
-
-
 def q_resolve_strict(s: SparkSession, d: str) -> DataFrame:
     return resolve.strict(_claims(s, d), _files(s, d))
 
@@ -290,11 +284,6 @@ def q_author_keys(s: SparkSession, d: str) -> DataFrame:
     return a.select("citation_author", X.author_key(c).alias("primary_key"), X.surname_key(c).alias("surname_key"), X.first_author_key(c).alias("first_key"), X.first_author_key(c, compat=True).alias("first_key_compat"))
 
 
-def q_author_variants(s: SparkSession, d: str) -> DataFrame:
-    a = table(s, d, "ccp_registry").select("citation_author", "citation_text").filter("citation_author IS NOT NULL").distinct()
-    return a.select("citation_author", "citation_text", F.array_sort(X.author_variants(F.col("citation_author"))).alias("variants"), F.array_sort(X.mined_authors(F.col("citation_text"))).alias("mined"))
-
-
 def q_guess_path(s: SparkSession, d: str) -> DataFrame:
     """<author with underscores>_<year>.pdf where there is such a file."""
     f = _files(s, d).select(F.lower("name").alias("guess"), "path").groupBy("guess").agg(F.min("path").alias("path"))
@@ -331,21 +320,6 @@ def q_dashboard(s: SparkSession, d: str) -> DataFrame:
     return reports.multi_level_counts(_verdicts(s, d), levels, "verdict")
 
 
-def q_corrections(s: SparkSession, d: str) -> DataFrame:
-    v = _verdicts(s, d).filter(F.col("verdict").isin("UNSUPPORTED_FAIL", "AMBIGUOUS_REVIEW"))
-    return v.select("review_id", "section", "claim_id", F.lit("edit_or_remove").alias("action_type"), F.lit("").alias("proposed_text"), F.concat(F.lit("best evidence "), F.col("best").cast("string")).alias("notes"))
-
-
-def q_adjudicate_rule(s: SparkSession, d: str) -> DataFrame:
-    a = table(s, d, "adjudication_inputs").dropDuplicates(["claim_id"]).select("claim_id", adjudicate.render(F.col("evidence"), F.col("claim_text")).alias("prompt"))
-    return adjudicate.judge_rows(a, "claim_id", "prompt", adjudicate.overlap_judge()).select("claim_id", "answer.verdict", F.array_join("answer.risk_flags", ";").alias("risk_flags"))
-
-
-def q_prompts(s: SparkSession, d: str) -> DataFrame:
-    a = table(s, d, "adjudication_inputs").select("claim_id", adjudicate.render(F.col("evidence"), F.col("claim_text")).alias("p")).distinct()
-    return a.select("claim_id", F.md5("p").alias("prompt_md5"), F.length("p").alias("chars"))
-
-
 def q_rewrite_update(s: SparkSession, d: str) -> DataFrame:
     """Failed verdicts get a proposal by key; of a claim's repeated rows only the last is changed."""
     base = table(s, d, "adjudication_inputs").select("review_id", "claim_id", "built_at", "stated_page", F.lit("").alias("proposed_rewrite"))
@@ -416,6 +390,22 @@ _CITED = r"(?i)\bas cited in\s+([A-Z][^,;()]+?)\s*,\s*(\d{4}[a-z]?)"
 _NARRATIVE = citations.NARRATIVE.replace("'", "''")
 _ENTRY = textops.REFERENCE_ENTRY.replace("'", "''")
 _PAGE = r"(?i)\bpp?\.\s*(\d+(?:\s*[-–]\s*\d+)?)"
+# The text up to the k-th match is found by its length without the matches up to there, marked with a character no text has.
+_NARRATIVE_ROWS = f"""nm AS (SELECT KEYS, regexp_extract_all(COL, '{_NARRATIVE}', 0) AS m, regexp_extract_all(COL, '{_NARRATIVE}', 1) AS a, regexp_extract_all(COL, '{_NARRATIVE}', 2) AS y,
+  string_split(regexp_replace(COL, '{_NARRATIVE}', chr(31), 'g'), chr(31)) AS g, COL AS full_text FROM ROWS),
+nu AS (SELECT KEYS, full_text, m, g, unnest(m) AS mt, unnest(a) AS au, unnest(y) AS yr, generate_subscripts(m, 1) AS k FROM nm),
+np AS (SELECT KEYS, mt, au, yr, k, CAST(list_sum(list_transform(g[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0) AS INT) AS span_start, full_text FROM nu),
+nt AS (SELECT *, substr(full_text, span_start + length(mt) + 1) AS tail, substr(full_text, 1, span_start) AS head FROM np),
+narr AS (SELECT KEYS, k, span_start, CASE WHEN h = '' THEN 'narrative' ELSE 'secondary_narrative' END AS citation_type, CASE WHEN h = '' THEN mt ELSE mt || ', ' || regexp_extract(tail, '{_CITED}', 0) END AS citation_text,
+  CASE WHEN h = '' THEN trim(au) ELSE trim(h) END AS citation_author, CASE WHEN h = '' THEN yr ELSE regexp_extract(tail, '{_CITED}', 2) END AS citation_year,
+  CASE WHEN h <> '' THEN trim(au) END AS primary_mentioned_author, CASE WHEN h <> '' THEN yr END AS primary_mentioned_year,
+  coalesce(nullif(regexp_extract(tail, '{_PAGE}', 1), ''), nullif(regexp_extract(head, '{_PAGE}', 1), '')) AS stated_page FROM (SELECT *, regexp_extract(tail, '{_CITED}', 1) AS h FROM nt))"""
+
+
+def _narratives(rows: str, keys: str, col: str) -> str:
+    return _NARRATIVE_ROWS.replace("KEYS", keys).replace("COL", col).replace("FROM ROWS", f"FROM {rows}")
+
+
 _BLOCKS = f"{_TEXTS}, blocks AS (SELECT claim_id, unnest(regexp_extract_all(claim_text, '\\(([^()]+)\\)', 1)) AS b FROM texts)"
 
 _PAGES = r"""src AS (SELECT DISTINCT stem, regexp_replace(text, '\r\n?', chr(10), 'g') AS text FROM sources_text WHERE text <> ''),
@@ -429,11 +419,19 @@ _WORDS = rf"ws AS (SELECT stem, page_no, CASE WHEN text = '' THEN [] ELSE string
 _WINDOWS = _PAGES + ", " + _WORDS + """,
 starts AS (SELECT stem, page_no, w, unnest(range(0, greatest(0, len(w) - 180) + 1, 90)) AS a FROM ws),
 windows AS (SELECT stem, page_no, CAST(a / 90 AS INT) AS win_no, array_to_string(w[a + 1 : a + 180], ' ') AS text FROM starts)"""
-_ASKED = r"""low AS (SELECT lower(stem) AS stem, page_no, page_ord, text, regexp_replace(text, '\s+', ' ', 'g') AS flat FROM pages),
-asked AS (SELECT stem || '#' || page_no AS claim_id, stem, page_no AS own, regexp_replace(substr(text, 21, 40), '\s+', ' ', 'g') AS q FROM low WHERE length(text) > 60),
-hits AS (SELECT DISTINCT a.claim_id, a.stem, a.own, p.page_no, p.page_ord FROM asked a JOIN low p ON a.stem = p.stem
-  WHERE regexp_matches('“' || a.q || '”', '["“].+?["”]') AND contains(translate(p.flat, '“”‘’', '""' || chr(39) || chr(39)), translate(regexp_extract('“' || a.q || '”', '["“](.+?)["”]', 1), '“”‘’', '""' || chr(39) || chr(39))))"""
 _STEM = r"regexp_replace(trim(string_split(replace(source_pdf_path, chr(92), '/'), '/')[-1]), '(?i)(?:\.pdf)+$', '')"
+_ASKED = _CLAIMS + rf""", low AS (SELECT lower(stem) AS stem, page_no, page_ord, translate(regexp_replace(text, '\s+', ' ', 'g'), '“”‘’', '""' || chr(39) || chr(39)) AS flat FROM pages),
+lastin AS (SELECT * FROM adjudication_inputs QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY built_at DESC) = 1),
+opening AS (SELECT claim_id, lower({_STEM}) AS stem, stated_page, generate_subscripts(evidence, 1) - 1 AS pos, unnest(evidence).text AS t FROM lastin WHERE trim(source_pdf_path) <> ''),
+asked AS (SELECT claim_id, lower({_STEM}) AS stem, claim_text, stated_page, regexp_matches(claim_text, '["“”'']') AS is_quote FROM claims WHERE trim(source_pdf_path) <> ''
+  UNION ALL SELECT claim_id || '#' || pos, stem, 'It says “' || substr(regexp_replace(t, '\s+', ' ', 'g'), 1, 30) || '” there.', stated_page, true FROM opening),
+quotes AS (SELECT claim_id, stem, stated_page, is_quote, generate_subscripts(qs, 1) AS k, translate(unnest(qs), '“”‘’', '""' || chr(39) || chr(39)) AS q
+  FROM (SELECT *, regexp_extract_all(claim_text, '["“](.+?)["”]', 1) AS qs FROM asked)),
+hits AS (SELECT DISTINCT claim_id, q.stem, stated_page, is_quote, k, page_no, page_ord FROM quotes q JOIN low ON q.stem = low.stem WHERE contains(flat, q)),
+said AS (SELECT claim_id, stem, TRY_CAST(nullif(regexp_extract(coalesce(stated_page, ''), '^(\d{{1,9}})', 1), '') AS INT) AS said FROM asked),
+firsts AS (SELECT claim_id, stem, arg_min(page_no, page_ord) AS page FROM hits WHERE k = 1 GROUP BY ALL),
+offsets AS (SELECT f.stem, CAST(floor(median(said - page)) AS INT) AS logical_minus_pdf_offset, CAST(count(*) AS INT) AS n_examples
+  FROM firsts f JOIN said s ON s.claim_id = f.claim_id AND s.stem = f.stem WHERE said IS NOT NULL GROUP BY f.stem)"""
 _FIRST_KEY = r"lower(string_split_regex(trim(string_split(string_split_regex(string_split(coalesce({0}, ''), '&')[1], '\band\b')[1], ',')[1]), '\s+')[1])"
 _LETTERS = "strip_accents({0})"
 _SURNAME = r"""lower(regexp_extract(string_split(trim(regexp_replace(string_split_regex(regexp_replace(replace(trim(regexp_replace(translate(strip_accents(coalesce({0}, '')), '–—‐', '---'), '\s+', ' ', 'g')), 'CLEARAA', 'CLEAR-AA'), '[’'']s\b', '', 'g'), '\s+(?:&|and)\s+')[1], '(?i)\bet\s+al\.?\b', '', 'g')), ',')[1], '([A-Za-z\-]+)', 1))"""
@@ -462,9 +460,7 @@ SQL = {
       SELECT claim_id, '(' || b || ')' AS citation_text, trim(unnest(a)) AS citation_author, unnest(y) AS citation_year, regexp_extract(b, '{_PAGE}', 1) AS stated_page FROM p""",
     "q_secondary": f"""WITH {_BLOCKS} SELECT claim_id, '(' || b || ')' AS citation_text, trim(regexp_extract(b, '{_CITED}', 1)) AS citation_author, regexp_extract(b, '{_CITED}', 2) AS citation_year
       FROM blocks WHERE regexp_matches(b, '{_CITED}')""",
-    "q_narrative": f"""WITH {_TEXTS}, n AS (SELECT claim_id, regexp_extract_all(claim_text, '{_NARRATIVE}', 0) AS m, regexp_extract_all(claim_text, '{_NARRATIVE}', 1) AS a,
-      regexp_extract_all(claim_text, '{_NARRATIVE}', 2) AS y FROM texts WHERE NOT claim_text ILIKE '%as cited in%')
-      SELECT claim_id, unnest(m) AS citation_text, trim(unnest(a)) AS citation_author, unnest(y) AS citation_year, 'narrative' AS citation_type FROM n""",
+    "q_narrative": f"WITH {_TEXTS}, {_narratives('texts', 'claim_id', 'claim_text')} SELECT claim_id, citation_text, citation_author, citation_year, citation_type, primary_mentioned_author, primary_mentioned_year, stated_page, span_start FROM narr",
     "q_multi_citation_split": f"""WITH t AS (SELECT DISTINCT claim_id, citation_text, {_strip("coalesce(citation_text, '')")} AS t FROM ccp_registry),
       u AS (SELECT claim_id, list_filter(list_transform(string_split(CASE WHEN regexp_full_match(t, '\\(.*\\)') THEN t[2:-2] ELSE t END, ';'), lambda x: {_strip('x')}), lambda x: x <> '') AS ps FROM t)
       SELECT claim_id, CAST(generate_subscripts(ps, 1) - 1 AS INT) AS part_no, unnest(ps) AS part FROM u""",
@@ -481,15 +477,14 @@ SQL = {
     "q_windows_with_tail": f"""WITH {_PAGES}, {_WORDS}, st AS (SELECT stem, page_no, w, unnest(list_distinct(list_concat(range(0, greatest(0, len(w) - 180) + 1, 90), [greatest(0, len(w) - 180)]))) AS a FROM ws)
       SELECT stem, count(*) AS windows, CAST(sum(length(array_to_string(w[a + 1 : a + 180], ' '))) AS BIGINT) AS chars FROM st GROUP BY stem""",
     "q_quote_pages": f"WITH {_PAGES}, {_ASKED} SELECT DISTINCT claim_id, stem, page_no FROM hits",
-    "q_page_offsets": f"""WITH {_PAGES}, {_ASKED}, f AS (SELECT claim_id, stem, own, arg_min(page_no, page_ord) AS page FROM hits GROUP BY ALL)
-      SELECT stem, CAST(floor(median(own + length(stem) - page)) AS INT) AS logical_minus_pdf_offset, CAST(count(*) AS INT) AS n_examples FROM f GROUP BY stem""",
-    "q_stated_page_evidence": f"""WITH {_CLAIMS}, {_WINDOWS}, c AS (SELECT claim_id, lower({_STEM}) AS stem, TRY_CAST(nullif(regexp_extract(coalesce(stated_page, ''), '^(\\d{{1,9}})', 1), '') AS INT) AS page FROM claims WHERE trim(source_pdf_path) <> '')
-      SELECT claim_id, page_no, win_no, 100 AS score FROM c JOIN windows w ON c.stem = lower(w.stem) AND c.page = w.page_no""",
-    "q_exact_evidence": f"""WITH {_WINDOWS}, l0 AS (SELECT lower(stem) AS stem, page_no, regexp_replace(text, '\\s+', ' ', 'g') AS flat FROM pages),
-      ask AS (SELECT stem || '#' || page_no AS claim_id, stem, regexp_extract('“' || substr(flat, 21, 40) || '”', '["“](.+?)["”]', 1) AS q FROM l0 WHERE length(flat) > 60),
-      hit AS (SELECT DISTINCT claim_id, ask.stem, l0.page_no FROM ask JOIN l0 ON ask.stem = l0.stem WHERE q <> '' AND contains(translate(flat, '“”‘’', '""' || chr(39) || chr(39)), translate(q, '“”‘’', '""' || chr(39) || chr(39))))
-      SELECT claim_id, h.page_no, win_no, 100 AS score FROM hit h JOIN windows w ON h.stem = lower(w.stem) AND h.page_no = w.page_no""",
-    "q_token_set_native": f"""WITH a AS (SELECT claim_id, claim_text, evidence FROM adjudication_inputs QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY built_at) = 1),
+    "q_quote_hits": f"""WITH {_PAGES}, {_ASKED}, n AS (SELECT claim_id, count(*) AS pages FROM (SELECT DISTINCT claim_id, stem, page_no FROM hits) GROUP BY claim_id)
+      SELECT a.claim_id, stem, coalesce(pages, 0) AS pages FROM asked a LEFT JOIN n ON a.claim_id = n.claim_id WHERE regexp_matches(claim_text, '["“].+?["”]')""",
+    "q_page_offsets": f"WITH {_PAGES}, {_ASKED} SELECT * FROM offsets",
+    "q_stated_page_evidence": f"""WITH {_WINDOWS}, {_ASKED} SELECT s.claim_id, w.page_no, win_no, 100 AS score FROM said s JOIN offsets o ON s.stem = o.stem
+      JOIN windows w ON lower(w.stem) = s.stem AND w.page_no = said - logical_minus_pdf_offset""",
+    "q_exact_evidence": f"""WITH {_WINDOWS}, {_ASKED}, h AS (SELECT DISTINCT claim_id, stem, page_no FROM hits WHERE is_quote)
+      SELECT claim_id, h.page_no, win_no, 100 AS score FROM h JOIN windows w ON h.stem = lower(w.stem) AND h.page_no = w.page_no""",
+    "q_token_set_native": f"""WITH a AS (SELECT claim_id, claim_text, evidence FROM adjudication_inputs QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY built_at DESC) = 1),
       e AS (SELECT claim_id, CAST(generate_subscripts(evidence, 1) - 1 AS INT) AS pos, {_TOKENS.format('claim_text')} AS x, unnest(evidence).text AS t FROM a),
       p AS (SELECT claim_id, pos, x, {_TOKENS.format('t')} AS y FROM e),
       n AS (SELECT *, list_intersect(x, y) AS b, list_filter(x, lambda v: NOT list_contains(y, v)) AS l, list_filter(y, lambda v: NOT list_contains(x, v)) AS r FROM p),
@@ -515,11 +510,6 @@ SQL = {
     "q_dashboard": f"""WITH {_VERDICTS} SELECT verdict, count(*) AS count, 'overall' AS level, NULL AS review_id, NULL AS section FROM verdicts GROUP BY verdict
       UNION ALL SELECT verdict, count(*), 'review', review_id, NULL FROM verdicts WHERE review_id IS NOT NULL GROUP BY verdict, review_id
       UNION ALL SELECT verdict, count(*), 'section', review_id, section FROM verdicts WHERE review_id IS NOT NULL AND section IS NOT NULL GROUP BY verdict, review_id, section""",
-    "q_corrections": f"""WITH {_VERDICTS} SELECT review_id, section, claim_id, 'edit_or_remove' AS action_type, '' AS proposed_text, 'best evidence ' || best AS notes FROM verdicts
-      WHERE verdict IN ('UNSUPPORTED_FAIL', 'AMBIGUOUS_REVIEW')""",
-    "q_prompts": """WITH p AS (SELECT DISTINCT claim_id, 'CLAIM: ' || coalesce(claim_text, '') || chr(10) || 'EVIDENCE:' || chr(10) ||
-      coalesce(array_to_string(list_transform(evidence[1:6], lambda e: '[pp. ' || coalesce(e.page_range, '') || '] ' || coalesce(e.text, '')), chr(10)), '') AS p FROM adjudication_inputs)
-      SELECT claim_id, md5(p) AS prompt_md5, CAST(length(p) AS INT) AS chars FROM p""",
     "q_rewrite_update": f"""WITH {_VERDICTS}, b AS (SELECT review_id, claim_id, built_at, stated_page, max(built_at) OVER (PARTITION BY review_id, claim_id) AS last FROM adjudication_inputs)
       SELECT b.review_id, b.claim_id, built_at, stated_page, CASE WHEN v.claim_id IS NOT NULL AND built_at = last THEN 'rewrite ' || b.claim_id ELSE '' END AS proposed_rewrite
       FROM b LEFT JOIN (SELECT * FROM verdicts WHERE verdict = 'UNSUPPORTED_FAIL') v ON v.review_id = b.review_id AND v.claim_id = b.claim_id""",
@@ -562,12 +552,13 @@ pr AS (SELECT cl.claim_id, sec.sec_no, title, level, CASE WHEN regexp_matches(ti
 bt AS (SELECT claim_id, sec_no, title, level, round(cosine * CAST(prior AS DOUBLE), 9) AS score FROM pr QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY round(cosine * CAST(prior AS DOUBLE), 9) DESC, sec_no) = 1),
 bo AS (SELECT claim_id, sec_no, title, level FROM pr QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY overlap * prior DESC, sec_no) = 1),
 matched AS (SELECT bt.claim_id, CASE WHEN score > 0 THEN bt.sec_no ELSE bo.sec_no END AS sec_no, CASE WHEN score > 0 THEN bt.title ELSE bo.title END AS title,
-  CASE WHEN score > 0 THEN bt.level ELSE bo.level END AS level, CAST(CASE WHEN score > 0 THEN round(score, 6) ELSE 0.0 END AS DOUBLE) AS score FROM bt JOIN bo ON bt.claim_id = bo.claim_id)"""
+  CASE WHEN score > 0 THEN bt.level ELSE bo.level END AS level, CAST(CASE WHEN score > 0 THEN round(score, 6) ELSE 0.0 END AS DOUBLE) AS score FROM bt JOIN bo ON bt.claim_id = bo.claim_id
+ UNION ALL SELECT claim_id, NULL, 'unknown', NULL, 0.0 FROM cl WHERE review_id NOT IN (SELECT review_id FROM sec))"""
 _YEAR_ONLY = r" regexp_extract(sentence, '(\d{4})[a-z]?\s*\)', 1) AS claim_text"
 SQL |= {
     "q_tfidf_section": f"WITH {_DOC_SECTIONS}, {_DOC_CLAIMS}, {_TFIDF} SELECT * FROM matched",
-    "q_section_fallback": f"""WITH {_DOC_SECTIONS.replace("title, body FROM dsec", "title, regexp_replace(body, '[0-9]', ' ', 'g') AS body FROM dsec")},
-      {_DOC_CLAIMS.replace(" sentence AS claim_text", _YEAR_ONLY)}, {_TFIDF} SELECT claim_id, sec_no, title, score FROM matched""",
+    "q_section_fallback": f"""WITH {_DOC_SECTIONS.replace("title, body FROM dsec", "title, '' AS body FROM dsec")},
+      {_DOC_CLAIMS.replace(" sentence AS claim_text", _YEAR_ONLY).replace("cl AS (", "cl AS (SELECT review_id, review_id || '#t' || sec_no AS claim_id, title AS claim_text FROM sec UNION ALL ")}, {_TFIDF} SELECT claim_id, sec_no, title, score FROM matched""",
     "q_file_inventory": rf"""WITH f AS (SELECT DISTINCT path, string_split(replace(path, chr(92), '/'), '/')[-1] AS name FROM file_inventory),
       g AS (SELECT path, name, regexp_replace(trim(lower(regexp_replace(regexp_replace(replace(regexp_replace(trim(name), '(?i)(?:\.pdf)+$', ''), '&', ' and '), '[!-/:-@\[-`{{-~]', ' ', 'g'), '[^A-Za-z0-9_ ]+', ' ', 'g'))), ' +', '_', 'g') AS stem_norm FROM f)
       SELECT path, name, stem_norm, nullif(regexp_extract(stem_norm, '(?i)(?:^|[^0-9])((?:19|20)\d{{2}}[a-z]?)(?:[^0-9a-z]|$)', 1), '') AS year FROM g""",

@@ -16,7 +16,6 @@ INPUTS = (
     "review_id string, section string, claim_id string, claim_text string, citation_text string, citation_type string, is_secondary boolean, primary_mentioned_author string, primary_mentioned_year string, "
     f"stated_page string, citation_author string, citation_year string, source_pdf_path string, evidence {EVIDENCE}"
 )
-VERDICT = "verdict string, rationale string, evidence_span string, required_fix string, risk_flags array<string>"
 # Names a canonical table must have.
 CANONICAL = ["review_id", "section", "claim_id", "claim_text", "is_quote", "has_numbers", "is_causal_or_normative", "citation_text", "source_pdf"]
 FLAGS = ["is_quote", "has_numbers", "is_causal_or_normative"]

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.operators.reports import last_of
+
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
@@ -37,6 +39,24 @@ def docx_paragraphs(content: bytes) -> list[tuple[str, int | None, str]]:
     return out
 
 
+def docx_bytes(paragraphs: list[tuple[int | None, str]]) -> bytes:
+    """A document of (heading level or None, text) paragraphs; headings carry the usual style names."""
+    clean = lambda t: re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "", t)  # noqa: E731  not allowed in XML
+    root = ElementTree.Element(f"{_W}document")
+    body = ElementTree.SubElement(root, f"{_W}body")
+    for level, text in paragraphs:
+        p = ElementTree.SubElement(body, f"{_W}p")
+        if level:
+            ElementTree.SubElement(ElementTree.SubElement(p, f"{_W}pPr"), f"{_W}pStyle").set(f"{_W}val", f"Heading{level}")
+        t = ElementTree.SubElement(ElementTree.SubElement(p, f"{_W}r"), f"{_W}t")
+        t.text = clean(text)
+        t.set("{http://www.w3.org/XML/1998/namespace}space", "preserve")
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", ElementTree.tostring(root, encoding="utf-8", xml_declaration=True))
+    return out.getvalue()
+
+
 def _binary(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
 
@@ -63,6 +83,11 @@ def read_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_docx_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
     """review_id, para_no, style, level, text."""
+    return parse_docx(_binary(spark, folder, "*.docx").select("path", "content"))
+
+
+def parse_docx(files: DataFrame) -> DataFrame:
+    """files(path, content) -> review_id, para_no, style, level, text; a broken file gives no row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -75,7 +100,13 @@ def read_docx_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
             out = pd.DataFrame(rows, columns=["review_id", "para_no", "style", "level", "text"])
             yield out.astype({"level": "Int32"})
 
-    return _binary(spark, folder, "*.docx").select("path", "content").mapInPandas(run, "review_id string, para_no int, style string, level int, text string")
+    return files.mapInPandas(run, "review_id string, para_no int, style string, level int, text string")
+
+
+def research_questions(paragraphs: DataFrame) -> DataFrame:
+    """review_id, research_question: the first heading of level 1."""
+    first = paragraphs.filter("level = 1").withColumn("t", F.trim(F.regexp_replace("text", r"\s+", " "))).filter("t <> ''")
+    return first.groupBy("review_id").agg(F.min_by("t", "para_no").alias("research_question"))
 
 
 def docx_sections(paragraphs: DataFrame) -> DataFrame:
@@ -131,26 +162,53 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str, last: list[str] | None = None, mode: str = "overwrite") -> None:
     """Nulls as empty text; `last` names columns to be put at the end."""
     cols = [c for c in df.columns if c not in (last or [])] + [c for c in last or [] if c in df.columns]
-    df.select(*cols).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df.select(*cols).write.mode(mode).options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
+def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """Types taken from the values, in a first pass over them."""
+    return spark.read.options(header=True, multiLine=True, quote='"', escape='"', inferSchema=True).csv(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
+def read_jsonl_keyed(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    """One row for each key, the last in the order of files and lines; lines without the key are left out."""
+    raw = spark.read.text(path).select("value", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")).alias("at"))
+    rows = raw.select("at", F.from_json("value", schema).alias("r")).select("at", "r.*").filter(F.coalesce(F.col(key), F.lit("")) != "")
+    return last_of(rows, [key], ["at"]).drop("at")
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def read_best(spark: SparkSession, parquet: str, csv: str, schema: str) -> DataFrame:
-    """Parquet if it is there, else CSV, else an error that names both."""
-    for probe in (lambda: spark.read.parquet(parquet), lambda: read_csv(spark, csv, schema)):
+def read_best(spark: SparkSession, parquet: str | None, csv: str | list[str], schema: str) -> DataFrame:
+    """Parquet if it is there, else the first CSV that is, else an error that names them."""
+    csvs = [csv] if isinstance(csv, str) else csv
+    probes = [lambda: spark.read.parquet(parquet)] if parquet else []
+    for probe in (*probes, *[lambda c=c: read_csv(spark, c, schema) for c in csvs]):
         try:
             return probe()
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-    raise FileNotFoundError(f"neither {parquet} nor {csv}")
+    raise FileNotFoundError(f"none of {', '.join(filter(None, [parquet, *csvs]))}")
+
+
+def rewrite_with_backup(df: DataFrame, path: str, stamp: str) -> str:
+    """Replace the table at path, which df may read, and keep the old one beside it; gives the backup's path. The new table is written
+    in full before anything is moved."""
+    spark = df.sparkSession
+    fresh, old = f"{path}.new-{stamp}", f"{path}.bak-{stamp}"
+    df.write.mode("errorifexists").parquet(fresh)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    move = lambda a, b: jvm.FileSystem.get(jvm.Path(a).toUri(), spark._jsc.hadoopConfiguration()).rename(jvm.Path(a), jvm.Path(b))
+    if not (move(path, old) and move(fresh, path)):
+        raise OSError(f"could not replace {path}; the new table is at {fresh}")
+    return old
 
 
 def write_all(df: DataFrame, root: str, stamp: str) -> None:

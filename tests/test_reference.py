@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from claimloom import schemas
+from claimloom.config import read_settings
 from claimloom.functions import scalars as X
 from claimloom.functions.lcs import lcs_length, token_set_bounds, token_set_ratio, token_sets
 from claimloom.operators import adjudicate, citations, jsonrepair, reports, resolve, retrieval, sections, textops
@@ -182,16 +183,102 @@ def test_update_only_last(spark):
     assert [tuple(r) for r in reports.last_of(base, ["id"], ["at"]).orderBy("id").collect()] == [("k", 2, ""), ("m", 1, "")]
 
 
-def test_judge(spark):
-    df = spark.createDataFrame([("a", "CLAIM: water pumps failed\nEVIDENCE:\nwater pumps failed"), ("b", "boom")], "claim_id string, prompt string")
+INPUTS = f"review_id string, section string, claim_id string, claim_text string, citation_text string, citation_type string, is_secondary boolean, primary_mentioned_author string, primary_mentioned_year string, stated_page string, citation_author string, citation_year string, source_pdf_path string, evidence {schemas.EVIDENCE}, built_at int"
 
-    def judge(p):
-        if p == "boom":
-            raise RuntimeError
-        return adjudicate.overlap_judge()(p)
 
-    got = {r.claim_id: (r.answer.verdict, r.answer.risk_flags) for r in adjudicate.judge_rows(df, "claim_id", "prompt", judge).collect()}
-    assert got == {"a": ("EXACT_QUOTE_PASS", []), "b": ("UNSUPPORTED_FAIL", ["llm_error"])}
+def _inputs(spark):
+    e = [("4", "pumps failed here", 80), ("5-6", "x", 3)]
+    rows = [("r", "s", "a", "pumps failed", "(A, 2000)", "parenthetical", True, "Old", "1990", "4", "A", "2000", "p/A_2000.pdf", e, 1), ("r", None, "b", "boom", None, None, None, None, None, None, None, None, None, None, 1), ("q", "t", "c", "none such", None, None, False, "", "", "", "C", "2001", None, e[1:], 1)]
+    return spark.createDataFrame(rows, INPUTS)
+
+
+def test_prompts(spark):
+    got = {r.claim_id: r.p for r in _inputs(spark).select("claim_id", adjudicate.judge_prompt("Do it.").alias("p")).collect()}
+    assert got["a"] == (
+        "CLAIM: \npumps failed\n\nCITATION CONTEXT:\n- Citation text: (A, 2000)\n- Type: parenthetical (secondary)\n- Primary source mentioned: Old (1990)\n- Stated page (may be wrong): 4\n\n"
+        "CITED SOURCE:\n- A (2000)\n- p/A_2000.pdf\n\nSOURCE EXCERPTS:\n\n[pp. 4] pumps failed here\n\n[pp. 5-6] x\n\nTASK:\nDo it."
+    )
+    assert got["b"].startswith("CLAIM: \nboom\n\nCITATION CONTEXT:\n- Citation text: \n- Type: \n\n\n\nCITED SOURCE:\n-  ()\n- \n\nSOURCE EXCERPTS:\n\nTASK:")
+
+
+def test_verdict_rows(spark):
+    def model(p):
+        if "boom" in p:
+            raise RuntimeError("no line")
+        return adjudicate.excerpt_judge(p)
+
+    rows = adjudicate.verdict_rows(_inputs(spark), model)
+    assert rows.columns == adjudicate.BASE_COLUMNS + adjudicate.REWRITE_COLUMNS
+    got = {r.claim_id: r for r in rows.collect()}
+    assert got["a"].verdict == "EXACT_QUOTE_PASS" and got["c"].verdict == "AMBIGUOUS_REVIEW" and got["c"].source_pdf_path == ""
+    assert (got["b"].verdict, got["b"].rationale, got["b"].risk_flags, got["b"].section) == ("UNSUPPORTED_FAIL", "LLM error: no line", "llm_error", "")
+    bad = adjudicate.verdict_rows(_inputs(spark), lambda p: '{"verdict": "MAYBE"}').select("rationale").distinct().collect()
+    assert len(bad) == 1 and bad[0].rationale.startswith("LLM error: missing")
+
+
+@pytest.mark.parametrize(("change", "reason"), [({}, None), ({"verdict": "MAYBE"}, "unknown verdict"), ({"rationale": ""}, "no text in rationale"), ({"risk_flags": "x"}, "risk_flags is no list of texts"), ({"more": "x"}, "unknown more"), ({"required_fix": 1}, "no text in required_fix"), ({"required_fix": ""}, None)])
+def test_answers_against_the_schema(change, reason):
+    good = {"verdict": "AMBIGUOUS_REVIEW", "rationale": "r", "evidence_span": "4", "required_fix": "none", "risk_flags": ["a"]}
+    assert adjudicate.broken(good | change, adjudicate.VERDICT_ANSWER) == reason
+    assert adjudicate.broken([], adjudicate.VERDICT_ANSWER) == "no object" and adjudicate.broken({"proposed_rewrite": "x", "page_anchor": "p. 1", "more": "y"}, adjudicate.REWRITE_ANSWER) is None
+
+
+def test_rewrites(spark):
+    inputs = _inputs(spark)
+    v = adjudicate.verdict_rows(inputs, lambda p: json.dumps({"verdict": "UNSUPPORTED_FAIL", "rationale": "r", "evidence_span": "s", "required_fix": "", "risk_flags": []}))
+    assert [r.claim_id for r in adjudicate.rewrite_targets(v, "r").orderBy("claim_id").collect()] == ["a", "b"] and [r.claim_id for r in adjudicate.rewrite_targets(v, limit=1).collect()] == ["c"]
+    e = spark.createDataFrame([("r", "a", "", "RQ", "", "canon"), ("r", "b", "own claim", "RQ", "Title", "canon")], "review_id string, claim_id string, claim_text string, research_question string, section_title string, section_canonical string")
+    p = adjudicate.propose_rewrites(v, e, inputs, adjudicate.citing_rewriter)
+    got = {r.claim_id: r for r in p.collect()}
+    assert (got["a"].proposed_rewrite, got["a"].page_anchor, got["a"].section_title, got["a"].risk_flags) == ("pumps failed (pp. 4)", "pp. 4", "canon", "weak_evidence")
+    assert (got["b"].proposed_rewrite, got["b"].notes, got["b"].section_title) == ("", "LLM error: no excerpt", "Title") and got["c"].research_question == ""
+    done = {r.claim_id: (r.proposed_rewrite, r.rewrite_flags) for r in adjudicate.with_rewrites(v.withColumn("at", F.lit(1)), p, ["at"]).collect()}
+    assert done == {"a": ("pumps failed (pp. 4)", "weak_evidence"), "b": ("", "llm_error"), "c": ("none such (pp. 5-6)", "weak_evidence")}
+
+
+def test_settings():
+    got = read_settings("paths:\n  pdf_dir: x/pdf  # here\nretrieval:\n  chunk_words: 90\n  top_k: 3\nother:\n  model: m\n")
+    assert (got.sources_dir, got.chunk_words, got.top_k, got.chunk_stride) == ("x/pdf", 90, 3, 90)
+    with pytest.raises(ValueError):
+        read_settings("retrieval:\n  top_k: many\n")
+
+
+def test_small_scalars(spark):
+    assert one(spark, X.joined, '["a", "b"]') == "a;b" and one(spark, X.joined, '"a"') == "a" and one(spark, X.joined, None) == "" and one(spark, X.joined, "3") == "3"
+    df = spark.sql("SELECT map('a', 'x', 'b', CAST(NULL AS STRING)) AS m")
+    assert [df.select(X.default_if_missing(F.col("m"), k, "d").alias("y")).first().y for k in "abc"] == ["x", None, "d"]
+    assert one(spark, X.plain_letters, "Ǻç ﬁn Ｓｍíth ẞ e\u0301") == "Ac fin Smith ẞ e"
+
+
+def test_resolution_by_the_authors_own_year(spark):
+    inv = resolve.inventory(spark.createDataFrame([("p/Alpha_2022.pdf",), ("p/Beta_2018.pdf",)], "path string"))
+    rows = [("beta", "Beta", "2018", "(Alpha, 2022; Beta, 2018)", ""), ("late", "Beta", "2018", "(Gamma, 2022)", " "), ("kept", "Beta", "2018", "(Beta, 2018)", "a\\b.pdf")]
+    c = spark.createDataFrame(rows, "claim_id string, citation_author string, citation_year string, citation_text string, source_pdf_path string")
+    c = c.withColumns({"primary_mentioned_author": F.lit(None).cast("string"), "primary_mentioned_year": F.lit(None).cast("string")})
+    paths = lambda compat: {r.claim_id: r.source_pdf_path for r in resolve.fill_paths(c, inv, compat).collect()}
+    assert paths(False) == {"beta": "p/Beta_2018.pdf", "late": "p/Beta_2018.pdf", "kept": "a/b.pdf"} and paths(True)["late"] == "p/Alpha_2022.pdf"
+
+
+def test_sections_of_reviews_without_any(spark):
+    secs = spark.createDataFrame([("r", 0, 1, "Top", ""), ("r", 1, 2, "Water", "pumps")], "review_id string, sec_no int, level int, title string, body string")
+    claims = spark.createDataFrame([("r", "a", "Pumps"), ("x", "b", "Pumps"), ("r", "c", None)], "review_id string, claim_id string, claim_text string")
+    got = {r.claim_id: (r.title, r.sec_no) for r in sections.match_sections(claims, sections.usable(secs)).collect()}
+    assert got == {"a": ("Water", 1), "b": ("unknown", None), "c": ("Water", 1)}
+    assert sections.match_sections(claims.limit(0), secs).count() == 0 and sections.match_sections(claims, secs.limit(0)).filter("title = 'unknown'").count() == 3
+
+
+def test_keyed_lines_and_backup(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text('{"k": "a", "v": 1}\n{"k": "b", "v": 2}\n\n{"k": "a", "v": 3}\n{"v": 9}\n')
+    assert {(r.k, r.v) for r in files.read_jsonl_keyed(spark, str(tmp_path / "in.jsonl"), "k string, v int", "k").collect()} == {("a", 3), ("b", 2)}
+    at = str(tmp_path / "t")
+    spark.range(3).write.parquet(at)
+    old = files.rewrite_with_backup(spark.read.parquet(at).filter("id > 0"), at, "1")
+    assert spark.read.parquet(at).count() == 2 and spark.read.parquet(old).count() == 3
+    files.write_csv(spark.createDataFrame([(1, " x ", 2.5)], "a int, b string, c double"), str(tmp_path / "c"))
+    got = files.read_csv_inferred(spark, str(tmp_path / "c"))
+    assert dict(got.dtypes) == {"a": "int", "b": "string", "c": "double"} and got.first().b == " x "
+    p = spark.createDataFrame([("r", 0, None, "H", 2, "x"), ("r", 1, None, " First  one ", 1, "x"), ("r", 2, None, "Second", 1, "x")], "review_id string, para_no int, style string, text string, level int, more string")
+    assert [tuple(r) for r in files.research_questions(p).collect()] == [("r", "First one")]
 
 
 def test_json_recovery():
