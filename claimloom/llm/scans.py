@@ -3,17 +3,23 @@
 Furniture is found within each text: number lines, "Page n of m", and a page's first or last line when, apart from numbers and misread
 characters, it repeats on other pages or repeats the title or author of the first page.
 
-Misread characters: a noisy channel. Pass 1 counts words and word pairs over all texts (in the worker per batch, then summed in the
-cluster). Each distinct word gets candidates by undoing character confusions (at most MAX_ERRORS in a word), joined with the word
-counts. Words with a plausible alternative are marked in a bit table of fixed size (BITS); pass 2 sends on only lines that hold such a
-word. Their tokens are joined with candidates and pair counts, and Viterbi decodes each line: the confusion's probability times an
-interpolated bigram model. Ligatures and characters no alphabet has inside a word are misread whatever the counts say.
+Misread characters: a noisy channel. Pass 1 counts words and word pairs over all texts. A printed word and any misreading of it, of
+however many characters, have the same strokes (n is ri, m is rri, d is cl, ...), so words meet their possible printed forms by an
+equi-join on their strokes; an alignment then says which confusions lead from one to the other. How often each character is confused, and
+before which next one, is estimated from the words that are plainly misread. Words with a printed form other than their own are marked in a bit table of fixed
+size (BITS); pass 2 sends on only such words, with the word before and after: words in between that have one reading part the text into
+pieces that can be decoded by themselves. Viterbi decodes each piece: confusion probabilities times an interpolated bigram model. A
+word with a character that no alphabet has inside words can stand for itself in no reading.
 
 Words at a line's end with a hyphen are judged once for each pair of halves: the joined word against the compound, by the counts of
-their best candidates. A soft hyphen or a not sign is never part of a word.
+their best printed forms and the confusions that lead there. A soft hyphen or a not sign is never part of a word.
+
+No threshold is an absolute count: a printed form must have a share of the most frequent word of its strokes, and halves are words of
+their own if they have a share of all words.
 
 Defined results: null and empty texts give no rows; a redelivered text counts once; a text without page markers is one page; lines are
-split at line feeds and counted with the markers. Whole texts are read. Nothing but fixed-size tables reaches the driver.
+split at line feeds and counted with the markers. Whole texts are read, CHUNK characters of them at a time. Nothing but fixed-size
+tables reaches the driver.
 """
 
 from __future__ import annotations
@@ -26,22 +32,32 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.session import cut
 
 BITS = 1 << 22
-MAX_ERRORS = 3
-P_ERROR = 0.008
-PRIOR = 50.0
+CHUNK = 1 << 23
+# Prior rate of a confusion and how many characters it counts for; weight of the plain frequency in a pair's; share of its strokes' most
+# frequent word that a printed form has; how many times as frequent as the word read; share of all words that makes a half a word.
+P_ERROR, P_WEIGHT, PRIOR, FORM_SHARE, FORM_RATIO, HALF_SHARE = 0.008, 500.0, 50.0, 0.02, 100, 1.5e-5
+# What comes after a character, as far as its confusion may depend on it: a letter of the alphabet, other, nothing.
+NEXT = [*"abcdefghijklmnopqrstuvwxyz", "*", "$"]
+# What an unseen reading counts; how many times the expected number a misreading may stand and be no word of its own.
+UNSEEN, SLACK = 0.02, 6.0
 
 # What a scanner reads -> what was printed.
 CONFUSIONS = {
     "c": "e", "ri": "n", "rn": "m", "cl": "d", "li": "h", "ii": "u", "vv": "w", "f": "t", "ɑ": "a", "†": "t", "!": "i", "|": "l", "1": "l", "0": "o", "5": "s", "9": "g", "6": "b",
     "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
 }
+# Letters as the strokes that their misreadings have too.
+STROKES = {"n": "ri", "m": "rri", "d": "cl", "e": "c", "h": "li", "u": "ii", "w": "vv", "f": "t"}
 CERTAIN = re.compile(r"[ɑ†ﬀﬁﬂﬃﬄ]|(?<=[^\W\d_])[!|](?=[^\W\d_])|^[!|](?=[^\W\d_]{2})|(?<=[^\W\d_])[01569](?=[^\W\d_])|^[01569](?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[01569]$")
 ORDINAL = re.compile(r"\d+(?:st|nd|rd|th|s|[a-d])?", re.I)
 MARKER = re.compile(r"<<<PAGE=\d+>>>\s*$")
@@ -74,6 +90,8 @@ def line_kinds(lines: list[str]) -> list[str]:
     pages = [p for p in pages if p]
     for p in pages:
         for k in p:
+            if len(lines[k].strip(" \t-–—[](|).")) > 24 and k not in (p[0], p[-1]):  # no number line is longer
+                continue
             if NUMBER_LINE.fullmatch(lines[k]) and re.search(r"\d", lines[k]):
                 kinds[k] = "furniture"
             elif ROMAN_LINE.fullmatch(lines[k]):
@@ -144,46 +162,68 @@ def parts_of(token: str) -> tuple[str, ...]:
     return tuple(p for p in re.split(r"[-‐‑–—/]", core(token).lower()) if p)
 
 
+@lru_cache(1 << 16)
+def certain_part(part: str) -> bool:
+    """Has a word without hyphens a character that no word has there?"""
+    return bool(CERTAIN.search(part)) and not ORDINAL.fullmatch(part) and sum(c.isalpha() for c in part) >= sum(c.isdigit() for c in part)
+
+
 @lru_cache(1 << 16)
 def certain_misread(token: str) -> bool:
-    return any(CERTAIN.search(p) and not ORDINAL.fullmatch(p) and sum(c.isalpha() for c in p) >= sum(c.isdigit() for c in p) for p in (core(x) for x in re.split(r"[-‐‑–—/]", core(token))))
+    return any(certain_part(core(x)) for x in re.split(r"[-‐‑–—/]", core(token)))
+
+
+@lru_cache(1 << 16)
+def goes_on(token: str) -> bool:
+    """Can a line's first token be the rest of a broken word?"""
+    return token[:1].islower() or bool(CERTAIN.match(token)) or token[:1] in "†ɑﬀﬁ!01569"
+
 
+_BY_FIRST: dict[str, list[tuple[str, str]]] = {}
+for _read, _printed in CONFUSIONS.items():
+    _BY_FIRST.setdefault(_read[0], []).append((_read, _printed))
 
-def undo(word: str, errors: int = MAX_ERRORS) -> list[tuple[str, int, list[int]]]:
-    """(candidate, number of confusions undone, their places in the word), the word itself first."""
-    sites = [(i, r) for i in range(len(word)) for r in CONFUSIONS if word.startswith(r, i)]
-    forced = [(i, r) for i, r in sites if r in "ɑ†ﬀﬁﬂﬃﬄ!|10596"]
-    free = [s for s in sites if s not in forced]
-    out: dict[str, tuple[str, int, list[int]]] = {}
 
-    def build(chosen: list[tuple[int, str]]) -> None:
-        at, made = 0, []
-        for i, r in sorted(chosen):
-            if i < at:
-                return
-            made.append(word[at:i] + CONFUSIONS[r])
-            at = i + len(r)
-        w = "".join(made) + word[at:]
-        out.setdefault(w, (w, len(chosen), sorted(i for i, _ in chosen)))
+def explain(printed: str, seen: str) -> list[tuple[int, str]] | None:
+    """The fewest confusions, (place in seen, what was read), that make seen of printed; None if none do."""
+    layers: list[dict[int, tuple[int, tuple]]] = [{} for _ in range(len(seen) + 1)]
+    layers[0][0] = (0, ())
+    for i, c in enumerate(seen):
+        for j, (k, steps) in layers[i].items():
+            ways = [(i + 1, j + 1, k, steps)] if j < len(printed) and printed[j] == c else []
+            ways += [(i + len(r), j + len(q), k + 1, (*steps, (i, r))) for r, q in _BY_FIRST.get(c, ()) if seen.startswith(r, i) and printed.startswith(q, j)]
+            for i2, j2, k2, steps2 in ways:
+                if j2 not in layers[i2] or k2 < layers[i2][j2][0]:
+                    layers[i2][j2] = (k2, steps2)
+    found = layers[-1].get(len(printed))
+    return None if found is None else list(found[1])
 
-    def walk(k: int, chosen: list[tuple[int, str]]) -> None:
-        build(chosen)
-        if len(chosen) - len(forced) < errors:
-            for n in range(k, len(free)):
-                walk(n + 1, [*chosen, free[n]])
 
-    walk(0, list(forced))
-    if forced:
-        out.setdefault(word, (word, 0, []))
-    return sorted(out.values(), key=lambda x: x[1])
+def undone(word: str) -> str:
+    """The word with the characters that no word has replaced by what was printed, as far as each has one meaning."""
+    return "".join(CONFUSIONS.get(c, c) if c in "ɑ†ﬀﬁﬂﬃﬄ!|10596" else c for c in word)
 
 
-_CANDIDATE = T.StructType([T.StructField("cand", T.StringType()), T.StructField("k", T.IntegerType()), T.StructField("at", T.ArrayType(T.IntegerType()))])
+_STEPS = T.StructType([T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("read", T.ArrayType(T.StringType()))])
 
 
-@F.pandas_udf(T.ArrayType(_CANDIDATE))
-def candidates_of(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: [{"cand": c, "k": k, "at": at} for c, k, at in undo(w)])
+def after(word: str, at: int) -> str:
+    return "$" if at >= len(word) else word[at] if "a" <= word[at] <= "z" else "*"
+
+
+@F.pandas_udf(_STEPS)
+def confusions(printed: pd.Series, seen: pd.Series) -> pd.DataFrame:
+    """Places, and what was read there with what comes after it."""
+    found = [explain(p, s) for p, s in zip(printed, seen)]
+    read = [None if f is None else [f"{r} {after(s, i + len(r))}" for i, r in f] for f, s in zip(found, seen)]
+    return pd.DataFrame({"at": [None if f is None else [i for i, _ in f] for f in found], "read": read})
+
+
+def strokes(c: Column) -> Column:
+    for table in ({r: p for r, p in CONFUSIONS.items() if not r.isalpha() or ord(r[0]) > 127}, STROKES):
+        for old, new in table.items():
+            c = F.replace(c, F.lit(old), F.lit(new))
+    return c
 
 
 def bit_of(words: list[str]) -> np.ndarray:
@@ -191,63 +231,195 @@ def bit_of(words: list[str]) -> np.ndarray:
     return h % np.uint64(BITS)
 
 
+def chunked(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The rows in pieces of about CHUNK characters."""
+    part = pdf["text"].str.len().cumsum() // CHUNK
+    yield from (rows for _, rows in pdf.groupby(part.to_numpy(), sort=False))
+
+
+class Parsed:
+    """The running text of several texts as arrays: one entry for each word, in order.
+
+    word: its number in vocab, -1 for a gap (a token without a word, a word broken at a hyphen that may be its own); text, line: where
+    it stands; whole: does it stand in one line? breaks: (text, line, left, right, mark, next line) of the broken words."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.kinds: list[list[str]] = []
+        body: list[str] = []
+        owner: list[int] = []
+        number: list[int] = []
+        for i, t in enumerate(texts):
+            lines = t.split("\n")
+            kinds = line_kinds(lines)
+            self.kinds.append(kinds)
+            at = [k for k, kind in enumerate(kinds) if kind == "text"]
+            body += [lines[k] for k in at]
+            number += at
+            owner += [i] * len(at)
+        split = pc.utf8_split_whitespace(pa.array(body, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        unique, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        line = np.repeat(np.arange(len(body)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        if "" in unique:
+            keep = code != unique.index("")
+            code, line = code[keep], line[keep]
+        owner_of, number_of = np.array(owner, np.int64), np.array(number, np.int64)
+        present, first = np.unique(line, return_index=True)  # every line of running text has a token
+        last = np.append(first[1:], len(code)) - 1
+        marks = [BROKEN.search(u) for u in unique]
+        broken = np.array([m is not None for m in marks], bool)
+        rest = np.array([goes_on(u) for u in unique], bool)
+        self.vocab: dict[str, int] = {}
+        parts = [[self.vocab.setdefault(p, len(self.vocab)) for p in parts_of(u)] for u in unique]
+        gone = np.zeros(len(code), bool)
+        joined = np.zeros(len(code), bool)
+        self.breaks: list[tuple[int, int, str, str, str, int]] = []
+        if len(present):
+            can = np.append(broken[code[last[:-1]]] & rest[code[first[1:]]] & (owner_of[present[1:]] == owner_of[present[:-1]]), False)
+            units: dict[tuple[str, str, str], int] = {}
+            for k in np.flatnonzero(can).tolist():
+                if first[k] == last[k] and gone[first[k]]:  # the rest of a word is not broken itself
+                    continue
+                m, right = marks[code[last[k]]], unique[code[first[k + 1]]]
+                a, b = core(m.group(1)).lower(), core(right).lower()
+                self.breaks.append((int(owner_of[present[k]]), int(number_of[present[k]]), m.group(1), right, m.group(2), int(number_of[present[k + 1]])))
+                unit = units.setdefault((a, b, m.group(2)), len(parts))
+                if unit == len(parts):
+                    parts.append([self.vocab.setdefault(a + b, len(self.vocab))] if m.group(2) in SOFT and a + b else [])
+                code[last[k]] = unit
+                joined[last[k]] = True
+                gone[first[k + 1]] = True
+        code, line, joined = code[~gone], line[~gone], joined[~gone]
+        # compounds are counted as wholes too
+        self.compounds = Counter()
+        for j, n in enumerate(np.bincount(code, minlength=len(unique))[: len(unique)].tolist()):
+            if n and len(parts[j]) > 1:
+                self.compounds[core(unique[j]).lower()] += n
+        filled = [p or [-1] for p in parts]
+        size = np.array([len(p) for p in filled], np.int64)
+        flat = np.array([x for p in filled for x in p], np.int64)
+        start = np.cumsum(size) - size
+        n = size[code] if len(code) else np.zeros(0, np.int64)
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        self.word = flat[np.repeat(start[code], n) + inner] if len(code) else np.zeros(0, np.int64)
+        lines = np.repeat(line, n)
+        self.text, self.line, self.whole = owner_of[lines] if len(lines) else lines, number_of[lines] if len(lines) else lines, ~np.repeat(joined, n)
+        self.words = list(self.vocab)
+
+    def counts(self) -> list[tuple]:
+        """Rows of words, of pairs by the hash that Spark gives their two words, and of breaks."""
+        w = self.word
+        uni = Counter(dict(zip(self.words, np.bincount(w[w >= 0], minlength=len(self.words)).tolist()))) + self.compounds
+        both = (w[:-1] >= 0) & (w[1:] >= 0) & (self.text[:-1] == self.text[1:])
+        pair, n = np.unique(w[:-1][both] * len(self.words) + w[1:][both], return_counts=True)
+        raw = [x.encode() for x in self.words]
+        seed = [xxhash.xxh64_intdigest(x, 42) for x in raw]
+        size = max(len(raw), 1)
+        key = np.array([xxhash.xxh64_intdigest(raw[b], seed[a]) for a, b in zip((pair // size).tolist(), (pair % size).tolist())], np.uint64).view(np.int64)
+        rows = [("u", x, None, None, None, c) for x, c in uni.items()] + [("b", None, None, None, k, c) for k, c in zip(key.tolist(), n.tolist())]
+        broken = Counter((core(a).lower(), core(b).lower(), m) for _, _, a, b, m, _ in self.breaks)
+        return rows + [("h", a, b, m, None, c) for (a, b, m), c in broken.items()]
+
+    def pieces(self, doubtful: np.ndarray) -> list[tuple[int, int, list[int], list[str | None]]]:
+        """(text, place, lines, words) of each run of doubtful words, the words with one neighbour on each side, null at a gap."""
+        w = self.word
+        bad = (w >= 0) & self.whole
+        bad[bad] = doubtful[w[bad]]
+        at = np.flatnonzero(bad)
+        if not len(at):
+            return []
+        new = np.append(True, (np.diff(at) > 1) | (self.text[at[1:]] != self.text[at[:-1]]))
+        ends = np.append(np.flatnonzero(new)[1:], len(at))
+        near = lambda k, own: self.words[w[k]] if 0 <= k < len(w) and w[k] >= 0 and self.text[k] == own else None
+        out = []
+        for a, b in zip(np.flatnonzero(new).tolist(), ends.tolist()):
+            run, own = at[a:b], int(self.text[at[a]])
+            out.append((own, int(run[0]), (self.line[run] + 1).tolist(), [near(run[0] - 1, own), *(self.words[w[k]] for k in run), near(run[-1] + 1, own)]))
+        return out
+
+
 def count_words(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pass 1: words(word, n), pairs(a, b, n), breaks(left, right, mark, n)."""
+    """Pass 1: words(word, n), pairs(key, n), breaks(left, right, mark, n)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            uni: Counter = Counter()
-            bi: Counter = Counter()
-            brk: Counter = Counter()
-            for t in pdf["text"]:
-                _, _, words = read(t)
-                prev = None
-                for w in words:
-                    if w.right:
-                        brk[(core(w.text).lower(), core(w.right).lower(), w.mark)] += 1
-                        ws = (core(w.text).lower() + core(w.right).lower(),) if w.mark in SOFT else ()
-                    else:
-                        ws = parts_of(w.text)
-                        if len(ws) > 1:
-                            uni[core(w.text).lower()] += 1
-                    for x in ws:
-                        uni[x] += 1
-                        if prev:
-                            bi[(prev, x)] += 1
-                        prev = x
-                    if not ws:
-                        prev = None
-            rows = [("u", w, None, None, n) for w, n in uni.items()] + [("b", a, b, None, n) for (a, b), n in bi.items()] + [("h", a, b, m, n) for (a, b, m), n in brk.items()]
-            yield pd.DataFrame(rows, columns=["kind", "a", "b", "mark", "n"])
-
-    all_counts = cut(texts.select("text").mapInPandas(run, "kind string, a string, b string, mark string, n long").groupBy("kind", "a", "b", "mark").agg(F.sum("n").alias("n")))
-    words = all_counts.filter("kind = 'u'").select(F.col("a").alias("word"), "n")
-    pairs = all_counts.filter("kind = 'b'").select("a", "b", "n")
-    return words, pairs, all_counts.filter("kind = 'h'").select(F.col("a").alias("left"), F.col("b").alias("right"), "mark", "n")
+            for rows in chunked(pdf):
+                out = pd.DataFrame(Parsed(list(rows["text"])).counts(), columns=["kind", "a", "b", "mark", "key", "n"])
+                yield out.astype({"key": "Int64"})
 
+    counted = texts.select("text").mapInPandas(run, "kind string, a string, b string, mark string, key long, n long")
+    all_counts = cut(counted.groupBy("kind", "a", "b", "mark", "key").agg(F.sum("n").alias("n")))
+    words = all_counts.filter("kind = 'u'").select(F.col("a").alias("word"), "n")
+    return words, all_counts.filter("kind = 'b'").select("key", "n"), all_counts.filter("kind = 'h'").select(F.col("a").alias("left"), F.col("b").alias("right"), "mark", "n")
 
-def alternatives(words: DataFrame) -> DataFrame:
-    """word, cand, k, at, n_cand: candidates found in the counts, the word itself among them, for words with another plausible one."""
-    gen = words.filter(F.length("word") > 1).select("word", F.col("n").alias("n_word"), F.explode(candidates_of("word")).alias("c")).select("word", "n_word", "c.cand", "c.k", "c.at")
-    known = gen.join(words.select(F.col("word").alias("cand"), F.col("n").alias("n_cand")), "cand")
-    known = known.filter((F.col("k") == 0) | ((F.col("n_cand") >= 3) & (F.col("n_cand") * 100 >= F.col("n_word"))))
-    some = known.filter("k > 0").select("word").distinct()
-    return cut(known.join(some, "word", "left_semi").select("word", "cand", "k", "at", "n_cand"))
 
+def printed_forms(asked: DataFrame, words: DataFrame) -> DataFrame:
+    """asked(word, ...) -> the same with cand, n_cand, at, read: each word of the counts that it may be a misreading of, itself among them.
+    A form has FORM_SHARE of the most frequent word of its strokes, so a word meets few, however many misreadings those have."""
+    known = words.filter(F.length("word") > 1).withColumn("strokes", strokes(F.col("word")))
+    top = known.groupBy("strokes").agg(F.max("n").alias("top"))
+    forms = known.join(top, "strokes").filter(F.col("n") >= FORM_SHARE * F.col("top")).select("strokes", F.col("word").alias("cand"), F.col("n").alias("n_cand"))
+    met = asked.withColumn("strokes", strokes(F.col("word"))).join(forms, "strokes").drop("strokes")
+    return met.withColumn("how", confusions("cand", "word")).filter("how.at IS NOT NULL").select(*met.columns, "how.at", "how.read")
 
-def judge_breaks(breaks: DataFrame, words: DataFrame) -> DataFrame:
-    """left, right, mark -> hyphen, bad_left, bad_right, word: is the mark no part of the word, and which half is misread."""
-    b = breaks.select("left", "right", "mark").distinct().withColumn("joined", F.concat("left", "right")).withColumn("compound", F.concat_ws("-", "left", "right"))
 
-    def best(col: str, name: str) -> DataFrame:
-        c = b.select(F.col(col).alias("w")).distinct().select("w", F.explode(candidates_of("w")).alias("c")).select("w", "c.cand", "c.k", "c.at")
-        c = c.join(words.select(F.col("word").alias("cand"), "n"), "cand")
-        score = F.log("n") + F.col("k") * math.log(P_ERROR)
-        return c.groupBy("w").agg(F.max_by(F.struct("cand", "at", F.col("n").alias("n")), F.struct(score.alias("s"), (-F.col("k")).alias("k"), "cand")).alias(name)).withColumnRenamed("w", col)
+def confusion_rates(words: DataFrame, forms: DataFrame) -> dict[str, float]:
+    """For each confusion and next character, how often what was printed is read so: over words that are plainly one misreading of a far
+    more frequent one; the rate whatever comes next stands in where there is little of it. What comes back is of fixed size."""
+    printed = sorted(set(CONFUSIONS.values()))
 
-    j = b.join(best("joined", "j"), "joined", "left").join(best("compound", "c"), "compound", "left").join(best("left", "l"), "left", "left").join(best("right", "r"), "right", "left")
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got: Counter = Counter()
+            for w, n in zip(pdf["word"], pdf["n"]):
+                for p in printed:
+                    at = w.find(p)
+                    while at >= 0:
+                        got[(p, after(w, at + len(p)))] += n
+                        at = w.find(p, at + 1)
+            yield pd.DataFrame([(p, x, n) for (p, x), n in got.items()], columns=["p", "next", "n"])
+
+    plain = forms.filter((F.size("read") == 1) & (F.col("n_cand") >= 20 * F.col("n")))
+    seen = {r["r"]: r["n"] for r in plain.groupBy(F.col("read")[0].alias("r")).agg(F.sum("n").alias("n")).collect()}
+    chances = {(r["p"], r["next"]): r["n"] for r in words.mapInPandas(count, "p string, next string, n long").groupBy("p", "next").agg(F.sum("n").alias("n")).collect()}
+    rates = {}
+    for r, p in CONFUSIONS.items():
+        usual = (sum(seen.get(f"{r} {x}", 0) for x in NEXT) + P_ERROR * P_WEIGHT) / (sum(chances.get((p, x), 0) for x in NEXT) + P_WEIGHT)
+        rates |= {f"{r} {x}": (seen.get(f"{r} {x}", 0) + usual * P_WEIGHT) / (chances.get((p, x), 0) + P_WEIGHT) for x in NEXT}
+    return rates
+
+
+def channel(read: Column, rates: dict[str, float]) -> Column:
+    """Log probability of the confusions of a word."""
+    table = F.create_map(*[F.lit(x) for r, p in rates.items() for x in (r, math.log(p))])
+    return F.aggregate(read, F.lit(0.0), lambda a, r: a + table[r])
+
+
+def alternatives(words: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """word, cand, k, lp, n_cand for words that may be misread, the word itself among its candidates with what its misread forms leave of
+    its count; and the rates of the confusions. A misreading stands as often as its printed form and the confusion's rate let expect,
+    whatever the size of the corpus: only what goes beyond SLACK times that speaks for a word of its own."""
+    forms = cut(printed_forms(words.filter(F.length("word") > 1), words).filter(F.col("n_cand") * FORM_RATIO >= F.col("n")))
+    rates = confusion_rates(words, forms)
+    others = forms.filter(F.size("read") > 0)
+    others = others.select("word", "n", "cand", F.size("read").alias("k"), channel(F.col("read"), rates).alias("lp"), F.col("n_cand").cast("double").alias("n_cand"))
+    expected = others.groupBy("word", "n").agg(F.sum(F.col("n_cand") * F.exp("lp")).alias("expected"))
+    own = expected.select("word", F.col("word").alias("cand"), F.lit(0).alias("k"), F.lit(0.0).alias("lp"), F.greatest(F.col("n") - SLACK * F.col("expected"), F.lit(0.0)).alias("n_cand"))
+    return cut(others.drop("n").unionByName(own)), rates
+
+
+def judge_breaks(breaks: DataFrame, words: DataFrame, rates: dict[str, float], total: float) -> DataFrame:
+    """left, right, mark -> hyphen, bad_left, bad_right, word: is the mark no part of the word, and which half is misread."""
+    b = cut(breaks.select("left", "right", "mark").distinct().withColumn("joined", F.concat("left", "right")).withColumn("compound", F.concat_ws("-", "left", "right")))
+    asked = b.select(F.explode(F.array("joined", "compound", "left", "right")).alias("word")).filter("word <> ''").distinct()
+    f = printed_forms(asked, words)
+    score = F.struct((F.log("n_cand") + channel(F.col("read"), rates)).alias("s"), "cand")
+    best = cut(f.groupBy("word").agg(F.max_by(F.struct("cand", "at", F.col("n_cand").alias("n")), score).alias("best")))
+    j = b
+    for col, name in (("joined", "j"), ("compound", "c"), ("left", "l"), ("right", "r")):
+        j = j.join(best.select(F.col("word").alias(col), F.col("best").alias(name)), col, "left")
     nj, nc = F.coalesce("j.n", F.lit(0)), F.coalesce("c.n", F.lit(0))
-    both = F.coalesce(F.least("l.n", "r.n"), F.lit(0)) >= 20
+    both = F.coalesce(F.least("l.n", "r.n"), F.lit(0)) >= HALF_SHARE * total
     hyphen = F.col("mark").isin(*SOFT) | F.when(nj + nc > 0, nj > nc).otherwise(~both)
     any_at = lambda c, test: F.coalesce(F.exists(c, test), F.lit(False))
     size = F.length("left")
@@ -270,60 +442,54 @@ def _bit_table(words: DataFrame) -> np.ndarray:
     return out
 
 
+_FOUND = "stem string, line_no int, kind string, left string, right string, mark string, next_line int, place long, lines array<int>, words array<string>"
+
+
 def scan_lines(texts: DataFrame, table: np.ndarray) -> DataFrame:
-    """Pass 2: one row for each finding of a text: furniture, certain misreads, breaks, and lines to decode (their words in order)."""
+    """Pass 2: one row for each finding of a text: furniture, broken words and misread halves of them, and pieces to decode."""
     shared = texts.sparkSession.sparkContext.broadcast(table)  # BITS / 8 bytes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(shared.value).astype(bool)
         for pdf in batches:
-            memo: dict[str, bool] = {}
-            rows = []
-            for stem, t in zip(pdf["stem"], pdf["text"]):
-                lines, kinds, words = read(t)
-                rows += [(stem, k + 1, "furniture", None, None, None, 0, None) for k, kind in enumerate(kinds) if kind == "furniture"]
-                by_line: dict[int, list[str]] = {}
-                for w in words:
-                    if certain_misread(w.text if not w.right else w.text + "x"):
-                        rows.append((stem, w.line + 1, "misread", None, None, None, 0, None))
-                    if w.right:
-                        if certain_misread("x" + w.right):
-                            rows.append((stem, w.next_line + 1, "misread", None, None, None, 0, None))
-                        rows.append((stem, w.line + 1, "break", core(w.text).lower(), core(w.right).lower(), w.mark, w.next_line + 1, None))
-                    else:
-                        by_line.setdefault(w.line, []).extend(parts_of(w.text))
-                fresh = list({x for ws in by_line.values() for x in ws if x not in memo})
-                memo.update(zip(fresh, bits[bit_of(fresh)]))
-                rows += [(stem, k + 1, "decode", None, None, None, 0, ws) for k, ws in by_line.items() if any(memo[x] for x in ws)]
-            yield pd.DataFrame(rows, columns=["stem", "line_no", "kind", "left", "right", "mark", "next_line", "words"])
+            for rows in chunked(pdf):
+                stems, p = list(rows["stem"]), Parsed(list(rows["text"]))
+                out = [(stems[i], k + 1, "furniture", *[None] * 7) for i, kinds in enumerate(p.kinds) for k, kind in enumerate(kinds) if kind == "furniture"]
+                for i, k, left, right, mark, nxt in p.breaks:
+                    out.append((stems[i], k + 1, "break", core(left).lower(), core(right).lower(), mark, nxt + 1, None, None, None))
+                    out += [(stems[i], n + 1, "misread", *[None] * 7) for n, half in ((k, left + "x"), (nxt, "x" + right)) if certain_misread(half)]
+                doubtful = bits[bit_of(p.words)] | np.array([certain_part(x) for x in p.words], bool)
+                out += [(stems[i], lines[0], "piece", None, None, None, None, place, lines, words) for i, place, lines, words in p.pieces(doubtful)]
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in _FOUND.split(", ")]).astype({"next_line": "Int32", "place": "Int64"})
 
-    return cut(texts.select("stem", "text").mapInPandas(run, "stem string, line_no int, kind string, left string, right string, mark string, next_line int, words array<string>"))
+    return cut(texts.select("stem", "text").mapInPandas(run, _FOUND))
 
 
-def viterbi(choices: list[list[tuple[str, int, int]]], pair: dict[tuple[str, str], int], total: float) -> list[str]:
-    """The best word at each place; choices: (word, confusions, count) for each place.
+def viterbi(choices: list[list[tuple[str, float, float, float | None]]], pair: dict[tuple[str, str], int], total: float) -> list[str]:
+    """The best word at each place; choices for each place: (word, log probability of its confusions, count, for the word as read the share
+    of its count that is its own, else None).
 
-    Counts hold this line's own words, so a word as read counts one less, and so does a pair of words as read: a misread word must not
+    Counts hold this text's own words, so a word as read counts one less, and so does a pair of words as read: a misread word must not
     be its own evidence. Pair counts are smoothed by PRIOR counts of the plain frequency, so that rare words' pairs say little."""
     best: list[dict[str, tuple[float, str]]] = []
-    kept: set[str] = set()
+    before: dict[str, tuple[float, float | None]] = {}
     for place in choices:
         now = {}
-        for w, k, n in place:
-            channel = k * math.log(P_ERROR)
-            plain = (max(n - 1, 0) + 0.02 if k == 0 else n) / total
+        for w, channel_, n, own in place:
+            plain = (max(n - 1, 0) + UNSEEN if own is not None else max(n, UNSEEN)) / total
             if not best:
-                now[w] = (math.log(plain) + channel, "")
+                now[w] = (math.log(plain) + channel_, "")
                 continue
             options = []
             for p, (s, _) in best[-1].items():
-                seen, n_p = pair.get((p, w), 0), pair.get((p, ""), 0)
-                if k == 0 and p in kept:
+                seen, (n_p, own_p) = pair.get((p, w), 0), before[p]
+                if own is not None and own_p is not None:
                     seen, n_p = max(seen - 1, 0), max(n_p - 1, 0)
-                options.append((s + math.log((seen + PRIOR * plain) / (max(n_p, seen) + PRIOR)) + channel, p))
+                seen *= (1 if own is None else own) * (1 if own_p is None else own_p)
+                options.append((s + math.log((seen + PRIOR * plain) / (max(n_p, seen) + PRIOR)) + channel_, p))
             now[w] = max(options)
         best.append(now)
-        kept = {w for w, k, _ in place if k == 0}
+        before = {w: (n, own) for w, _, n, own in place}
     out = []
     if best:
         w = max(best[-1], key=lambda x: (best[-1][x][0], x))
@@ -333,38 +499,42 @@ def viterbi(choices: list[list[tuple[str, int, int]]], pair: dict[tuple[str, str
     return out[::-1]
 
 
-def decode(found: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
-    """stem, line_no, places, seen, printed: the words of the decoded lines that were misread."""
-    lines = found.filter("kind = 'decode'").select("stem", "line_no", "words").distinct()
-    tok = lines.select("stem", "line_no", F.posexplode("words").alias("pos", "word"))
-    options = alts.groupBy("word").agg(F.collect_list(F.struct("cand", "k", F.col("n_cand").alias("n"))).alias("alts"))  # candidates of one word
-    known = words.select("word", F.col("n").alias("n_word")).join(options, "word", "left")  # by distinct word, so the tokens are joined once
-    tok = tok.join(known, "word", "left")
-    own = F.array(F.struct(F.col("word").alias("cand"), F.lit(0).alias("k"), F.coalesce("n_word", F.lit(1)).cast("long").alias("n")))
-    tok = tok.select("stem", "line_no", F.struct("pos", "word", F.coalesce("alts", own).alias("alts"), F.coalesce("n_word", F.lit(1)).alias("n")).alias("t"))
-    line = cut(tok.groupBy("stem", "line_no").agg(F.array_sort(F.collect_list("t")).alias("ts")).filter(F.exists("ts", lambda t: F.size(t["alts"]) > 1)))  # the words of one line
-    # word pairs around a place that has a choice, and how often they occur
-    steps = line.select("stem", "line_no", F.explode(F.transform(F.sequence(F.lit(1), F.size("ts")), lambda k: F.struct(F.try_element_at("ts", k).alias("x"), F.try_element_at("ts", k + 1).alias("y")))).alias("s"))
-    steps = steps.filter("s.y IS NOT NULL AND (size(s.x.alts) > 1 OR size(s.y.alts) > 1)").select("stem", "line_no", F.explode("s.x.alts.cand").alias("a"), F.col("s.y.alts.cand").alias("bs")).select("stem", "line_no", "a", F.explode("bs").alias("b"))
-    seen = steps.distinct().join(pairs, ["a", "b"]).join(words.select(F.col("word").alias("a"), F.col("n").alias("n_a")), "a")
-    seen = seen.groupBy("stem", "line_no").agg(F.collect_list(F.struct("a", "b", "n", "n_a")).alias("pairs"))
-    total = float(words.agg(F.sum("n")).first()[0] or 1)
+def decode(found: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFrame, total: float) -> DataFrame:
+    """stem, line_no, place, seen, printed: the words of the pieces that were misread."""
+    key = ["stem", "place"]
+    pieces = found.filter("kind = 'piece'").select(*key, "lines", "words").distinct()
+    tok = pieces.select(*key, F.posexplode("words").alias("pos", "word")).filter("word IS NOT NULL")
+    options = alts.groupBy("word").agg(F.collect_list(F.struct("cand", "lp", F.col("n_cand").alias("n"))).alias("alts"))  # printed forms of one word
+    tok = tok.join(words.select("word", F.col("n").alias("n_word")).join(options, "word", "left"), "word", "left")
+    tok = tok.select(*key, F.struct("pos", "word", F.coalesce("n_word", F.lit(1)).alias("n"), F.coalesce("alts", F.array()).alias("alts")).alias("t"))
+    line = tok.groupBy(*key).agg(F.array_sort(F.collect_list("t")).alias("ts"))  # the words of one piece
+    line = cut(line.join(pieces.select(*key, "lines"), key))
+    texts = lambda t: F.concat(F.array(t["word"]), F.transform(t["alts"], lambda a: a["cand"]))
+    steps = line.select(*key, F.explode(F.transform(F.sequence(F.lit(1), F.size("ts")), lambda k: F.struct(F.try_element_at("ts", k).alias("x"), F.try_element_at("ts", k + 1).alias("y")))).alias("s"))
+    steps = steps.filter("s.y IS NOT NULL AND s.y.pos = s.x.pos + 1").select(*key, F.explode(F.array_distinct(texts(F.col("s.x")))).alias("a"), F.array_distinct(texts(F.col("s.y"))).alias("bs")).select(*key, "a", F.explode("bs").alias("b"))
+    seen = steps.distinct().withColumn("key", F.xxhash64("a", "b")).join(pairs, "key").groupBy(*key).agg(F.collect_list(F.struct("a", "b", "n")).alias("pairs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for stem, no, ts, ps in zip(pdf["stem"], pdf["line_no"], pdf["ts"], pdf["pairs"]):
-                pair: dict[tuple[str, str], int] = {}
-                for p in ps if ps is not None else ():
-                    pair[(p["a"], p["b"])] = p["n"]
-                    pair[(p["a"], "")] = p["n_a"]
-                choice = [[(a["cand"], a["k"], a["n"]) for a in t["alts"]] for t in ts]
-                for t, w in zip(ts, viterbi(choice, pair, total)):
+            for stem, lines, ts, ps in zip(pdf["stem"], pdf["lines"], pdf["ts"], pdf["pairs"]):
+                pair = {(p["a"], p["b"]): p["n"] for p in ps} if ps is not None else {}
+                choices = []
+                for t in ts:
+                    w, inside = t["word"], 1 <= t["pos"] <= len(lines)
+                    others = [(a["cand"], a["lp"], a["n"], None) for a in t["alts"] if a["cand"] != w] if inside else []
+                    if inside and certain_part(w):  # it stands for itself in no reading
+                        printed = undone(w)
+                        choices.append(others or [(printed if printed != w else w + "\0", 0.0, 0.0, None)])
+                    else:
+                        kept = next((a["n"] for a in t["alts"] if a["cand"] == w), float(t["n"]))
+                        choices.append([(w, 0.0, kept, kept / max(t["n"], 1)), *others])
+                for t, w in zip(ts, viterbi(choices, pair, total)):
                     if w != t["word"]:
-                        rows.append((stem, no, t["pos"], t["word"], w))
+                        rows.append((stem, int(lines[t["pos"] - 1]), t["pos"], t["word"], w.rstrip("\0")))
             yield pd.DataFrame(rows, columns=["stem", "line_no", "place", "seen", "printed"])
 
-    return line.join(seen, ["stem", "line_no"], "left").select("stem", "line_no", "ts", "pairs").mapInPandas(run, "stem string, line_no int, place int, seen string, printed string")
+    return line.join(seen, key, "left").select("stem", "lines", "ts", "pairs").mapInPandas(run, "stem string, line_no int, place int, seen string, printed string")
 
 
 def _texts(sources: DataFrame, stem_col: str, text_col: str) -> DataFrame:
@@ -375,10 +545,11 @@ def analyse(sources: DataFrame, stem_col: str = "stem", text_col: str = "text")
     """texts, findings of pass 2, judged breaks, decoded words."""
     texts = cut(_texts(sources, stem_col, text_col))
     words, pairs, breaks = count_words(texts)
-    alts = alternatives(words)
+    total = float(words.agg(F.sum("n")).first()[0] or 1)
+    alts, rates = alternatives(words)
     found = scan_lines(texts, _bit_table(alts))
-    judged = found.filter("kind = 'break'").join(judge_breaks(breaks, words), ["left", "right", "mark"])
-    return texts, found, judged, decode(found, alts, words, pairs)
+    judged = found.filter("kind = 'break'").join(judge_breaks(breaks, words, rates, total), ["left", "right", "mark"])
+    return texts, found, judged, decode(found, alts, words, pairs, total)
 
 
 def noisy_lines(sources: DataFrame, stem_col: str = "stem", text_col: str = "text") -> DataFrame:
@@ -399,7 +570,7 @@ def put_right(token: str, fixes: dict[str, str]) -> str:
         w = m.group()
         new = fixes.get(w.lower())
         if new is None and certain_misread(w):
-            new = undo(w.lower())[0][0] if undo(w.lower())[0][1] else undo(w.lower())[-1][0]
+            new = undone(w.lower())
         if new is None:
             return w
         return new.upper() if w.isupper() and len(w) > 1 else new[:1].upper() + new[1:] if w[:1].isupper() else new
