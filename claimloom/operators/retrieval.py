@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.config import DEFAULTS
-from claimloom.functions.lcs import token_set_bounds, token_set_ratio_udf, token_sets
+from claimloom.functions.lcs import LENGTH_BITS, bounds_of_common, code_chars, token_codes, token_set_ratio_udf
 from claimloom.functions.scalars import leading_page, page_label
 from claimloom.operators.textops import quote_pages
 from claimloom.session import cut
@@ -21,14 +21,20 @@ EVIDENCE = ["claim_id", "page_no", "win_no", "text", "score", "tier"]
 
 
 def fuzzy_top_k(claims: DataFrame, windows: DataFrame, source_key: str, k: int = DEFAULTS.top_k) -> DataFrame:
-    """claim_id, page_no, win_no, text, score, rank: the k best windows of each claim's source by the ratio itself, of which score is the
-    whole part; ties by page and window."""
+    """claim_id, source_key, page_no, win_no, _text (a hash), score, rank: the k best windows of each claim's source by the ratio itself, of
+    which score is the whole part; ties by page and window."""
     place = [source_key, "page_no", "win_no", "_text"]
     windows = windows.withColumn("_text", F.xxhash64("text"))  # two deliveries of a source may differ on the same page
-    c = claims.select("claim_id", source_key, token_sets(F.col("claim_text")).alias("qt"))
-    w = windows.select(*place, token_sets(F.col("text")).alias("wt"))
-    low, high = token_set_bounds(F.col("qt"), F.col("wt"))
-    pairs = c.join(w, source_key).select("claim_id", *place, low.alias("low"), high.alias("high"))
+
+    def coded(df: DataFrame, keys: list[str], text: str, to: str) -> DataFrame:
+        t = df.select(*keys, token_codes(F.col(text)).alias(to))
+        return t.withColumns({f"{to}_n": F.size(to), f"{to}_c": code_chars(F.col(to)), f"{to}_long": F.exists(to, lambda v: v.bitwiseAND(F.lit(LENGTH_BITS)) == LENGTH_BITS)})
+
+    pairs = coded(claims, ["claim_id", source_key], "claim_text", "q").join(coded(windows, place, "text", "w"), source_key)
+    pairs = pairs.select("claim_id", *place, "q_n", "q_c", "w_n", "w_c", (F.col("q_long") | F.col("w_long")).alias("long"), F.array_intersect("q", "w").alias("both"))
+    low, high = bounds_of_common(*[F.col(c) for c in ("both", "q_n", "w_n", "q_c", "w_c")])
+    # a token too long for its code leaves the ratio open
+    pairs = pairs.select("claim_id", *place, F.when(F.col("long"), 0.0).otherwise(low).alias("low"), F.when(F.col("long"), 100.0).otherwise(high).alias("high"))
     per_claim = Window.partitionBy("claim_id")
     pairs = pairs.withColumn("nth", F.row_number().over(per_claim.orderBy(F.desc("low"))))
     floor = F.max(F.when(F.col("nth") == k, F.col("low"))).over(per_claim)  # the k-th best lower bound; null where there are fewer windows
@@ -39,7 +45,7 @@ def fuzzy_top_k(claims: DataFrame, windows: DataFrame, source_key: str, k: int =
     open_ = open_.repartition(int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions")), "claim_id", "page_no", "win_no")
     scored = known.unionByName(open_.select("claim_id", *place, token_set_ratio_udf("q", "text").alias("ratio")))
     top = scored.withColumn("rank", F.row_number().over(per_claim.orderBy(F.desc("ratio"), "page_no", "win_no"))).filter(F.col("rank") <= k)
-    return top.join(windows.select(*place, "text"), place).select("claim_id", "page_no", "win_no", "text", F.floor("ratio").cast("int").alias("score"), "rank")
+    return top.select("claim_id", *place, F.floor("ratio").cast("int").alias("score"), "rank")
 
 
 def exact_tier(claims: DataFrame, page_rows: DataFrame, windows: DataFrame, source_key: str) -> DataFrame:
@@ -59,7 +65,8 @@ def evidence(claims: DataFrame, page_rows: DataFrame, windows: DataFrame, offset
     """claim_id, evidence: at most k items in tier order. compat: the fuzzy tier may repeat windows of the other tiers."""
     t1 = exact_tier(claims, page_rows, windows, source_key)
     t2 = stated_tier(claims, offsets, windows, source_key).join(t1.select("claim_id", "page_no", "win_no"), ["claim_id", "page_no", "win_no"], "left_anti")
-    t3 = fuzzy_top_k(claims, windows, source_key, k).withColumn("tier", F.lit(3)).withColumnRenamed("rank", "near")
+    near = fuzzy_top_k(claims, windows, source_key, k).join(windows.select(source_key, "page_no", "win_no", "text").withColumn("_text", F.xxhash64("text")), [source_key, "page_no", "win_no", "_text"])
+    t3 = near.select("claim_id", "page_no", "win_no", "text", "score", F.lit(3).alias("tier"), F.col("rank").alias("near"))
     if not compat:
         t3 = t3.join(t1.select("claim_id", "page_no", "win_no").union(t2.select("claim_id", "page_no", "win_no")), ["claim_id", "page_no", "win_no"], "left_anti")
     rows = t1.unionByName(t2).withColumn("near", F.lit(0)).unionByName(t3)

@@ -446,7 +446,7 @@ strict AS (SELECT claim_id, c.author_key, coalesce(c.year_key, '') AS year_key,
   CASE WHEN c.author_key = '' OR c.year_key IS NULL THEN coalesce(old, '') ELSE coalesce('pilot_inputs/sources_pdf/' || found, '') END AS path,
   CASE WHEN c.author_key = '' OR c.year_key IS NULL THEN '' WHEN found IS NULL THEN 'no_exact_author_year_pdf' WHEN old_name IS NOT NULL AND old_name <> found THEN 'corrected_from:' || old_name ELSE '' END AS mapping_note
   FROM c LEFT JOIN best ON c.author_key = best.author_key AND c.year_key = best.year_key)"""
-_TOKENS = "list_distinct(list_filter(string_split_regex(trim(coalesce({0}, '')), '\\s+'), lambda t: t <> ''))"
+_TOKENS = "list_distinct(list_filter(string_split_regex(coalesce({0}, ''), '" + _SP.replace("{", "{{").replace("}", "}}") + "+'), lambda t: t <> ''))"
 
 SQL = {
     "q_lines": f"WITH {_LINES} SELECT * FROM lines",
