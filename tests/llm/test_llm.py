@@ -167,7 +167,7 @@ def test_sentence_accuracy_held_out(spark, model):
             y = sentences.reliable(t, c, model.counts)
             if y is not None:
                 total += 1
-                right += bool(y) == bool(model.weights[sentences._hash(sentences.features(t, c, model.counts))].sum() > 0)
+                right += bool(y) == bool(sum(model.weights[k] for k in sentences.features(t, c, model.counts)) > 0)
     assert total > 200 and right / total >= 0.99
 
 
@@ -388,3 +388,22 @@ def test_recall_of_runs_with_two_words_replaced():
             found += bool(np.isin(a, b).any())
     print("recall of hardest runs", found, n)
     assert n > 300 and found >= 0.9 * n
+
+
+def test_counts_do_not_change_with_the_corpus(spark):
+    """Twice the texts, and many times as many rare words, leave shares and lower-case words as they are."""
+    base = ["Dr. Ama met Prof. Bo. They talked. The dr. left. Then they ate at no. 4."] * 40 + ["The end came. They saw it."] * 40
+    texts = lambda rows: spark.createDataFrame([(t,) for t in rows], "t string")
+    small = sentences.count_tokens(texts(base), "t")
+    large = sentences.count_tokens(texts(base * 2), "t")
+    assert small.stops == large.stops and small.low == large.low and small.stops["Dr"][0] == 1.0 and {"they", "left"} <= small.low and "ama" not in small.low
+    rare = [" ".join(f"x{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + j)}{'abcdefghij'[k // 676]}." for j in range(20)) for k in range(3000)]
+    wide = sentences.count_tokens(texts(base + rare), "t", token_share=1e-4)
+    assert {k: wide.stops[k] for k in ("Dr", "Prof", "no")} == {k: small.stops[k] for k in ("Dr", "Prof", "no")} and wide.low == small.low and len(wide.stops) <= 1e4
+
+
+def test_many_open_brackets_take_linear_time():
+    text = '([{“„ a. ' * 20_000 + ") ] } ” " * 5_000 + '" b. ' * 20_000
+    spans, closers = sentences.spans_of_brackets(text)
+    assert spans and len(sentences.candidates(text)) < len(text)
+    assert sentences.spans_of_brackets('a (b "c) d" e)')[0] == [(2, 7)] and sentences.outermost([(5, 9), (0, 3), (6, 7), (8, 12)]) == ([0, 5], [3, 12])
