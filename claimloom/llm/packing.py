@@ -10,6 +10,8 @@ capacity; then it is cut, between characters and at white space where there is s
 other items. Items are dealt to shards of about SHARD_ITEMS by a hash of id and piece, so shards need no order, no task sees more than
 a shard, and only ids and sizes are shuffled. At most the last few containers of a shard stay part empty.
 
+A text whose loss-bearing tokens alone exceed their limit counts as that limit, so it has a container without others that bear loss.
+
 Defined results: null text has the end token only; repeated deliveries of an id with the same sizes count once; empty tables give none.
 """
 
@@ -23,7 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CAPACITY, SEGMENTS, SHARD_ITEMS = 4096, 128, 8192
+CAPACITY, SEGMENTS, SHARD_ITEMS = 4096, 32, 8192
+#: no container holds more than this of loss-bearing tokens, so documents without headings are mixed with such as have some
+LOSS = 4090
 
 
 def cut_bytes(text: str, capacity: int) -> list[int]:
@@ -94,11 +98,13 @@ def items(documents: DataFrame, id_col: str, text_col: str, capacity: int = CAPA
     return whole.unionByName(cut).distinct().withColumn("segments", F.lit(1).cast("long"))
 
 
-def pack(documents: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY, segments: int = SEGMENTS, loss: int | None = None) -> DataFrame:
+def pack(documents: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY, segments: int = SEGMENTS, loss: int = LOSS) -> DataFrame:
     """container, doc_id, piece_no, n_pieces, tokens, segments, loss for each piece."""
-    limits = np.array([capacity, segments, capacity if loss is None else loss], np.int64)
+    limits = np.array([capacity, segments, min(loss, capacity)], np.int64)
     shards = max(1, math.ceil(documents.count() / SHARD_ITEMS))
     dealt = items(documents, id_col, text_col, capacity).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(shards)))
+    # by number: the packing is heavy for its bytes, and a partitioning by bytes would leave it to few tasks
+    dealt = dealt.repartition(min(shards, 10 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "shard")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece_no", "tokens"], ignore_index=True)

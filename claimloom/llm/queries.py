@@ -44,6 +44,14 @@ def _claims(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "ccp_registry").select("claim_id", "claim_text").filter("trim(claim_text) <> ''").distinct()
 
 
+def p2_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Each long text from its pieces: characters and a hash of what they hold without their overlaps, and the pieces that break a bound."""
+    p = p2_pieces(spark, d).withColumn("own", F.expr("substr(piece, content_start - start_char + 1)"))
+    bad = (F.length("piece") > chunks.LIMIT) | (F.col("content_start") - F.col("start_char") > chunks.OVERLAP)
+    whole = F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("piece_no", "own"))), lambda x: x["own"]), "")  # the pieces of one text
+    return p.groupBy("claim_id", "ev_pos", "n_pieces").agg(whole.alias("t"), F.count(F.when(bad, 1)).alias("n_bad")).select("claim_id", "ev_pos", F.length("t").alias("chars"), F.md5("t").alias("text_md5"), "n_bad")
+
+
 def p6_sentences(spark: SparkSession, d: str) -> DataFrame:
     return sentences.split_sentences(_claims(spark, d), "claim_id", "claim_text")
 
@@ -77,6 +85,19 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return full.groupBy(F.floor(F.col("tokens") * 10 / packing.CAPACITY).cast("int").alias("tenth")).agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"))
 
 
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every document once, with all its tokens, wherever they went."""
+    p = packing.pack(table(spark, d, "documents"), "doc_id", "text")
+    return p.groupBy("doc_id").agg(F.sum("tokens").alias("tokens"), (F.count("*") == F.max("n_pieces")).alias("whole"))
+
+
+def p8_limits(spark: SparkSession, d: str) -> DataFrame:
+    """All tokens packed, and containers beyond one of the three limits."""
+    c = packing.pack(table(spark, d, "documents"), "doc_id", "text").groupBy("container").agg(F.sum("tokens").alias("tokens"), F.sum("segments").alias("segments"), F.sum("loss").alias("loss"), F.max("loss").alias("one"))
+    over = (F.col("tokens") > packing.CAPACITY) | (F.col("segments") > packing.SEGMENTS) | (F.col("loss") > F.greatest(F.lit(packing.LOSS), F.col("one")))
+    return c.agg(F.sum("tokens").alias("tokens"), F.count(F.when(over, 1)).alias("over"))
+
+
 def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
     """Each document and leaked item, with the longest verified run and its replaced words."""
     return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "heldout_items"))
@@ -106,6 +127,7 @@ QUERIES = {
     "p1_cited": p1_cited,
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
+    "p2_round_trip": p2_round_trip,
     "p6_found": p6_found,
     "p6_sentences": p6_sentences,
     "p7_found": p7_found,
@@ -113,6 +135,8 @@ QUERIES = {
     "p8_found": p8_found,
     "p8_packed": p8_packed,
     "p8_fill": p8_fill,
+    "p8_documents": p8_documents,
+    "p8_limits": p8_limits,
     "p9_found": p9_found,
     "p9_leaks": p9_leaks,
     "p9_items": p9_items,
@@ -122,5 +146,9 @@ QUERIES = {
 SQL: dict[str, str] = {
     "p2_found": """SELECT DISTINCT claim_id, CAST(k - 1 AS INT) AS ev_pos FROM
       (SELECT claim_id, unnest(evidence) AS e, generate_subscripts(evidence, 1) AS k FROM adjudication_inputs) WHERE length(e.text) > 1200""",
+    "p2_round_trip": """SELECT claim_id, CAST(k - 1 AS INT) AS ev_pos, CAST(length(e.text) AS INT) AS chars, md5(e.text) AS text_md5, CAST(0 AS BIGINT) AS n_bad FROM
+      (SELECT DISTINCT claim_id, e, k FROM (SELECT claim_id, unnest(evidence) AS e, generate_subscripts(evidence, 1) AS k FROM adjudication_inputs)) WHERE length(e.text) > 1200""",
+    "p8_documents": "SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS tokens, true AS whole FROM (SELECT DISTINCT doc_id, text FROM documents)",
+    "p8_limits": "SELECT CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS tokens, CAST(0 AS BIGINT) AS over FROM (SELECT DISTINCT doc_id, text FROM documents)",
     "p8_found": "SELECT doc_id FROM documents WHERE strlen(coalesce(text, '')) + 1 > 4096",
 }

@@ -407,3 +407,19 @@ def test_many_open_brackets_take_linear_time():
     spans, closers = sentences.spans_of_brackets(text)
     assert spans and len(sentences.candidates(text)) < len(text)
     assert sentences.spans_of_brackets('a (b "c) d" e)')[0] == [(2, 7)] and sentences.outermost([(5, 9), (0, 3), (6, 7), (8, 12)]) == ([0, 5], [3, 12])
+
+
+def test_each_limit_binds():
+    """Of three limits each is the one that decides for some items."""
+    plain, headed, small = [[1000, 1, 1000]] * 40, [[1000, 1, 500]] * 40, [[20, 1, 10]] * 400
+    fill = lambda rows, limits: packing.fill(np.array(rows), np.array(limits)).max() + 1
+    assert fill(plain + headed, [4096, 99, 4096]) == 20 and 20 <= fill(plain + headed, [4096, 99, 3100]) <= 22 and fill(plain, [4096, 99, 3100]) == 14
+    assert fill(small, [4096, 32, 4096]) == 13 and fill(small, [4096, 999, 4096]) == 2
+    boxes = packing.fill(np.array(plain + headed), np.array([4096, 99, 3100]))
+    assert np.bincount(boxes, np.array(plain + headed)[:, 2]).max() <= 3100
+
+
+def test_pack_keeps_the_loss_limit(spark):
+    rows = [(k, "# " + "h" * 200 + "\n" + "x" * 700 if k % 2 else "x" * 900) for k in range(200)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", loss=3500).groupBy("container").sum("loss", "tokens").collect()
+    assert max(r["sum(loss)"] for r in got) <= 3500 and max(r["sum(tokens)"] for r in got) <= 4096
