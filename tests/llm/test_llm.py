@@ -413,7 +413,7 @@ def test_each_limit_binds():
     """Of three limits each is the one that decides for some items."""
     plain, headed, small = [[1000, 1, 1000]] * 40, [[1000, 1, 500]] * 40, [[20, 1, 10]] * 400
     fill = lambda rows, limits: packing.fill(np.array(rows), np.array(limits)).max() + 1
-    assert fill(plain + headed, [4096, 99, 4096]) == 20 and 20 <= fill(plain + headed, [4096, 99, 3100]) <= 22 and fill(plain, [4096, 99, 3100]) == 14
+    assert fill(plain + headed, [4096, 99, 4096]) == 20 and 20 <= fill(plain + headed, [4096, 99, 3100]) <= 24 and fill(plain, [4096, 99, 3100]) == 14
     assert fill(small, [4096, 32, 4096]) == 13 and fill(small, [4096, 999, 4096]) == 2
     boxes = packing.fill(np.array(plain + headed), np.array([4096, 99, 3100]))
     assert np.bincount(boxes, np.array(plain + headed)[:, 2]).max() <= 3100
