@@ -3,11 +3,13 @@
 Furniture is found within each text: number lines, "Page n of m", and a page's first or last line when, apart from numbers and misread
 characters, it repeats on other pages or repeats the title or author of the first page.
 
-Misread characters: a noisy channel. Pass 1 counts words and word pairs over all texts. A printed word and any misreading of it, of
+Each text is read once: what it says is kept as arrays of word numbers beside the counts.
+
+Misread characters: a noisy channel. Words and word pairs are counted over all texts. A printed word and any misreading of it, of
 however many characters, have the same strokes (n is ri, m is rri, d is cl, ...), so words meet their possible printed forms by an
 equi-join on their strokes; an alignment then says which confusions lead from one to the other. How often each character is confused, and
 before which next one, is estimated from the words that are plainly misread. Words with a printed form other than their own are marked in a bit table of fixed
-size (BITS); pass 2 sends on only such words, with the word before and after: words in between that have one reading part the text into
+size (BITS); of the kept arrays only such words go on, with the word before and after: words in between that have one reading part the text into
 pieces that can be decoded by themselves. Viterbi decodes each piece: confusion probabilities times an interpolated bigram model. A
 word with a character that no alphabet has inside words can stand for itself in no reading.
 
@@ -320,37 +322,63 @@ class Parsed:
         broken = Counter((core(a).lower(), core(b).lower(), m) for _, _, a, b, m, _ in self.breaks)
         return rows + [("h", a, b, m, None, c) for (a, b, m), c in broken.items()]
 
-    def pieces(self, doubtful: np.ndarray) -> list[tuple[int, int, list[int], list[str | None]]]:
-        """(text, place, lines, words) of each run of doubtful words, the words with one neighbour on each side, null at a gap."""
-        w = self.word
-        bad = (w >= 0) & self.whole
-        bad[bad] = doubtful[w[bad]]
-        at = np.flatnonzero(bad)
-        if not len(at):
-            return []
-        new = np.append(True, (np.diff(at) > 1) | (self.text[at[1:]] != self.text[at[:-1]]))
-        ends = np.append(np.flatnonzero(new)[1:], len(at))
-        near = lambda k, own: self.words[w[k]] if 0 <= k < len(w) and w[k] >= 0 and self.text[k] == own else None
-        out = []
-        for a, b in zip(np.flatnonzero(new).tolist(), ends.tolist()):
-            run, own = at[a:b], int(self.text[at[a]])
-            out.append((own, int(run[0]), (self.line[run] + 1).tolist(), [near(run[0] - 1, own), *(self.words[w[k]] for k in run), near(run[-1] + 1, own)]))
+    def found(self, stems: list[str]) -> list[tuple]:
+        """Rows of furniture, broken words and misread halves of them."""
+        out = [(stems[i], k + 1, "furniture", None, None, None, None) for i, kinds in enumerate(self.kinds) for k, kind in enumerate(kinds) if kind == "furniture"]
+        for i, k, left, right, mark, nxt in self.breaks:
+            out.append((stems[i], k + 1, "break", core(left).lower(), core(right).lower(), mark, nxt + 1))
+            out += [(stems[i], n + 1, "misread", None, None, None, None) for n, half in ((k, left + "x"), (nxt, "x" + right)) if certain_misread(half)]
         return out
 
+    def packed(self, stems: list[str]) -> tuple[list[str], list[str], bytes]:
+        """Texts, vocabulary and arrays, the lines of words in no whole line as -1."""
+        line = np.where(self.whole, self.line, -1)
+        return stems, self.words, np.stack([self.word, self.text, line]).astype(np.int32).tobytes()
+
+
+def doubtful_pieces(stems: list[str], words: list[str], arrays: bytes, doubtful: np.ndarray) -> list[tuple[str, int, list[int], list[str | None]]]:
+    """(stem, place, lines, words) of each run of doubtful words, the words with one neighbour on each side, null at a gap."""
+    w, text, line = np.frombuffer(arrays, np.int32).reshape(3, -1)
+    bad = (w >= 0) & (line >= 0)
+    bad[bad] = doubtful[w[bad]]
+    at = np.flatnonzero(bad)
+    if not len(at):
+        return []
+    new = np.append(True, (np.diff(at) > 1) | (text[at[1:]] != text[at[:-1]]))
+    ends = np.append(np.flatnonzero(new)[1:], len(at))
+    near = lambda k, own: words[w[k]] if 0 <= k < len(w) and w[k] >= 0 and text[k] == own else None
+    out = []
+    for a, b in zip(np.flatnonzero(new).tolist(), ends.tolist()):
+        run, own = at[a:b], int(text[at[a]])
+        out.append((stems[own], int(run[0]), (line[run] + 1).tolist(), [near(run[0] - 1, own), *(words[w[k]] for k in run), near(run[-1] + 1, own)]))
+    return out
+
+
+_READ = "part string, kind string, a string, b string, mark string, key long, n long, stem string, line_no int, next_line int, stems array<string>, words array<string>, arrays binary"
 
-def count_words(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pass 1: words(word, n), pairs(key, n), breaks(left, right, mark, n)."""
+
+def read_texts(texts: DataFrame) -> DataFrame:
+    """The one pass over the texts: rows of counts (part c), of findings (f) and of what the texts say, as arrays (p)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = [c.split()[0] for c in _READ.split(", ")]
         for pdf in batches:
             for rows in chunked(pdf):
-                out = pd.DataFrame(Parsed(list(rows["text"])).counts(), columns=["kind", "a", "b", "mark", "key", "n"])
-                yield out.astype({"key": "Int64"})
+                stems, p = list(rows["stem"]), Parsed(list(rows["text"]))
+                out = [("c", *row, None, None, None, None, None, None) for row in p.counts()]
+                out += [("f", kind, left, right, mark, None, None, stem, k, nxt, None, None, None) for stem, k, kind, left, right, mark, nxt in p.found(stems)]
+                out.append(("p", *[None] * 9, *p.packed(stems)))
+                yield pd.DataFrame(out, columns=columns).astype({c: "Int64" for c in ("key", "n", "line_no", "next_line")})
+
+    return cut(texts.select("stem", "text").mapInPandas(run, _READ))
 
-    counted = texts.select("text").mapInPandas(run, "kind string, a string, b string, mark string, key long, n long")
-    all_counts = cut(counted.groupBy("kind", "a", "b", "mark", "key").agg(F.sum("n").alias("n")))
-    words = all_counts.filter("kind = 'u'").select(F.col("a").alias("word"), "n")
-    return words, all_counts.filter("kind = 'b'").select("key", "n"), all_counts.filter("kind = 'h'").select(F.col("a").alias("left"), F.col("b").alias("right"), "mark", "n")
+
+def summed(read_rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """words(word, n), pairs(key, n), breaks(left, right, mark, n)."""
+    c = read_rows.filter("part = 'c'")
+    words = cut(c.filter("kind = 'u'").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n")))
+    pairs = c.filter("kind = 'b'").groupBy("key").agg(F.sum("n").alias("n"))
+    return words, pairs, c.filter("kind = 'h'").groupBy(F.col("a").alias("left"), F.col("b").alias("right"), "mark").agg(F.sum("n").alias("n"))
 
 
 def printed_forms(asked: DataFrame, words: DataFrame) -> DataFrame:
@@ -442,31 +470,34 @@ def _bit_table(words: DataFrame) -> np.ndarray:
     return out
 
 
-_FOUND = "stem string, line_no int, kind string, left string, right string, mark string, next_line int, place long, lines array<int>, words array<string>"
-
-
-def scan_lines(texts: DataFrame, table: np.ndarray) -> DataFrame:
-    """Pass 2: one row for each finding of a text: furniture, broken words and misread halves of them, and pieces to decode."""
-    shared = texts.sparkSession.sparkContext.broadcast(table)  # BITS / 8 bytes
+def pieces_to_decode(read_rows: DataFrame, table: np.ndarray) -> DataFrame:
+    """stem, place, lines, words: the runs of words that the bit table knows or that hold a character no word has."""
+    shared = read_rows.sparkSession.sparkContext.broadcast(table)  # BITS / 8 bytes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(shared.value).astype(bool)
         for pdf in batches:
-            for rows in chunked(pdf):
-                stems, p = list(rows["stem"]), Parsed(list(rows["text"]))
-                out = [(stems[i], k + 1, "furniture", *[None] * 7) for i, kinds in enumerate(p.kinds) for k, kind in enumerate(kinds) if kind == "furniture"]
-                for i, k, left, right, mark, nxt in p.breaks:
-                    out.append((stems[i], k + 1, "break", core(left).lower(), core(right).lower(), mark, nxt + 1, None, None, None))
-                    out += [(stems[i], n + 1, "misread", *[None] * 7) for n, half in ((k, left + "x"), (nxt, "x" + right)) if certain_misread(half)]
-                doubtful = bits[bit_of(p.words)] | np.array([certain_part(x) for x in p.words], bool)
-                out += [(stems[i], lines[0], "piece", None, None, None, None, place, lines, words) for i, place, lines, words in p.pieces(doubtful)]
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in _FOUND.split(", ")]).astype({"next_line": "Int32", "place": "Int64"})
+            for stems, words, arrays in zip(pdf["stems"], pdf["words"], pdf["arrays"]):
+                words = list(words)
+                doubtful = bits[bit_of(words)] | np.array([certain_part(x) for x in words], bool)
+                yield pd.DataFrame(doubtful_pieces(list(stems), words, arrays, doubtful), columns=["stem", "place", "lines", "words"])
 
-    return cut(texts.select("stem", "text").mapInPandas(run, _FOUND))
+    return read_rows.filter("part = 'p'").select("stems", "words", "arrays").mapInPandas(run, "stem string, place long, lines array<int>, words array<string>")
+
+
+@lru_cache(1 << 16)
+def _seed(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode(), 42)
 
 
-def viterbi(choices: list[list[tuple[str, float, float, float | None]]], pair: dict[tuple[str, str], int], total: float) -> list[str]:
-    """The best word at each place; choices for each place: (word, log probability of its confusions, count, for the word as read the share
+def pair_key(a: str, b: str) -> int:
+    """The hash that Spark gives two words."""
+    k = xxhash.xxh64_intdigest(b.encode(), _seed(a))
+    return k - (1 << 64) if k >> 63 else k
+
+
+def viterbi(choices: list[list[tuple[str, float, float, float | None]]], pair: dict[int, int], total: float) -> list[str]:
+    """The best word at each place, by the counts of pairs by their keys; choices for each place: (word, log probability of its confusions, count, for the word as read the share
     of its count that is its own, else None).
 
     Counts hold this text's own words, so a word as read counts one less, and so does a pair of words as read: a misread word must not
@@ -482,7 +513,7 @@ def viterbi(choices: list[list[tuple[str, float, float, float | None]]], pair: d
                 continue
             options = []
             for p, (s, _) in best[-1].items():
-                seen, (n_p, own_p) = pair.get((p, w), 0), before[p]
+                seen, (n_p, own_p) = pair.get(pair_key(p, w), 0) if pair else 0, before[p]
                 if own is not None and own_p is not None:
                     seen, n_p = max(seen - 1, 0), max(n_p - 1, 0)
                 seen *= (1 if own is None else own) * (1 if own_p is None else own_p)
@@ -499,62 +530,67 @@ def viterbi(choices: list[list[tuple[str, float, float, float | None]]], pair: d
     return out[::-1]
 
 
-def decode(found: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFrame, total: float) -> DataFrame:
+def decode(pieces: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFrame, total: float) -> DataFrame:
     """stem, line_no, place, seen, printed: the words of the pieces that were misread."""
     key = ["stem", "place"]
-    pieces = found.filter("kind = 'piece'").select(*key, "lines", "words").distinct()
-    tok = pieces.select(*key, F.posexplode("words").alias("pos", "word")).filter("word IS NOT NULL")
+    tok = pieces.select(*key, "lines", F.posexplode("words").alias("pos", "word")).filter("word IS NOT NULL")
     options = alts.groupBy("word").agg(F.collect_list(F.struct("cand", "lp", F.col("n_cand").alias("n"))).alias("alts"))  # printed forms of one word
     tok = tok.join(words.select("word", F.col("n").alias("n_word")).join(options, "word", "left"), "word", "left")
-    tok = tok.select(*key, F.struct("pos", "word", F.coalesce("n_word", F.lit(1)).alias("n"), F.coalesce("alts", F.array()).alias("alts")).alias("t"))
-    line = tok.groupBy(*key).agg(F.array_sort(F.collect_list("t")).alias("ts"))  # the words of one piece
-    line = cut(line.join(pieces.select(*key, "lines"), key))
-    texts = lambda t: F.concat(F.array(t["word"]), F.transform(t["alts"], lambda a: a["cand"]))
-    steps = line.select(*key, F.explode(F.transform(F.sequence(F.lit(1), F.size("ts")), lambda k: F.struct(F.try_element_at("ts", k).alias("x"), F.try_element_at("ts", k + 1).alias("y")))).alias("s"))
-    steps = steps.filter("s.y IS NOT NULL AND s.y.pos = s.x.pos + 1").select(*key, F.explode(F.array_distinct(texts(F.col("s.x")))).alias("a"), F.array_distinct(texts(F.col("s.y"))).alias("bs")).select(*key, "a", F.explode("bs").alias("b"))
-    seen = steps.distinct().withColumn("key", F.xxhash64("a", "b")).join(pairs, "key").groupBy(*key).agg(F.collect_list(F.struct("a", "b", "n")).alias("pairs"))
+    own = F.struct("pos", F.lit(0).alias("alt"), "word", F.lit(0.0).alias("lp"), F.coalesce("n_word", F.lit(1)).cast("double").alias("n"))
+    others = F.transform(F.coalesce("alts", F.array()), lambda a: F.struct(F.col("pos"), F.lit(1).alias("alt"), a["cand"].alias("word"), a["lp"].alias("lp"), a["n"].alias("n")))
+    # the words of one piece, then their printed forms, in flat arrays
+    line = tok.groupBy(*key).agg(F.first("lines").alias("lines"), F.array_sort(F.flatten(F.collect_list(F.concat(F.array(own), others)))).alias("ts"))
+    line = cut(line.select(*key, "lines", *[F.col(f"ts.{c}").alias(c) for c in ("pos", "alt", "word", "lp", "n")]))
+    rows = F.arrays_zip("pos", "word")
+    near = F.flatten(F.transform(rows, lambda x: F.transform(F.filter(rows, lambda y: y["pos"] == x["pos"] + 1), lambda y: F.xxhash64(x["word"], y["word"]))))
+    seen = line.select(*key, F.explode(F.array_distinct(near)).alias("key")).join(pairs, "key")
+    seen = seen.groupBy(*key).agg(F.collect_list(F.struct("key", "n")).alias("p")).select(*key, F.col("p.key").alias("keys"), F.col("p.n").alias("counts"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for stem, lines, ts, ps in zip(pdf["stem"], pdf["lines"], pdf["ts"], pdf["pairs"]):
-                pair = {(p["a"], p["b"]): p["n"] for p in ps} if ps is not None else {}
+            out = []
+            for stem, lines, pos, alt, word, lp, n, keys, counts in pdf.itertuples(index=False):
+                pair = dict(zip(keys.tolist(), counts.tolist())) if keys is not None else {}
+                places: dict[int, list] = {}
+                for at, other, w, c, m in zip(pos.tolist(), alt.tolist(), word, lp.tolist(), n.tolist()):
+                    places.setdefault(at, []).append((other, w, c, m))
                 choices = []
-                for t in ts:
-                    w, inside = t["word"], 1 <= t["pos"] <= len(lines)
-                    others = [(a["cand"], a["lp"], a["n"], None) for a in t["alts"] if a["cand"] != w] if inside else []
+                for at, found in places.items():
+                    (_, w, _, count), inside = found[0], 1 <= at <= len(lines)
+                    others = [(x, c, m, None) for _, x, c, m in found[1:] if x != w] if inside else []
                     if inside and certain_part(w):  # it stands for itself in no reading
                         printed = undone(w)
                         choices.append(others or [(printed if printed != w else w + "\0", 0.0, 0.0, None)])
                     else:
-                        kept = next((a["n"] for a in t["alts"] if a["cand"] == w), float(t["n"]))
-                        choices.append([(w, 0.0, kept, kept / max(t["n"], 1)), *others])
-                for t, w in zip(ts, viterbi(choices, pair, total)):
-                    if w != t["word"]:
-                        rows.append((stem, int(lines[t["pos"] - 1]), t["pos"], t["word"], w.rstrip("\0")))
-            yield pd.DataFrame(rows, columns=["stem", "line_no", "place", "seen", "printed"])
+                        kept = next((m for _, x, _, m in found[1:] if x == w), count)
+                        choices.append([(w, 0.0, kept, kept / max(count, 1)), *others])
+                for (at, found), w in zip(places.items(), viterbi(choices, pair, total)):
+                    if w != found[0][1]:
+                        out.append((stem, int(lines[at - 1]), at, found[0][1], w.rstrip("\0")))
+            yield pd.DataFrame(out, columns=["stem", "line_no", "place", "seen", "printed"])
 
-    return line.join(seen, key, "left").select("stem", "lines", "ts", "pairs").mapInPandas(run, "stem string, line_no int, place int, seen string, printed string")
+    both = line.join(seen, key, "left").select("stem", "lines", "pos", "alt", "word", "lp", "n", "keys", "counts")
+    return both.mapInPandas(run, "stem string, line_no int, place int, seen string, printed string")
 
 
 def _texts(sources: DataFrame, stem_col: str, text_col: str) -> DataFrame:
     return sources.select(F.col(stem_col).alias("stem"), F.col(text_col).alias("text")).filter("text <> ''").distinct()
 
 
-def analyse(sources: DataFrame, stem_col: str = "stem", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """texts, findings of pass 2, judged breaks, decoded words."""
-    texts = cut(_texts(sources, stem_col, text_col))
-    words, pairs, breaks = count_words(texts)
+def analyse(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """texts(stem, text) -> findings, judged breaks, decoded words."""
+    read_rows = read_texts(texts)
+    words, pairs, breaks = summed(read_rows)
     total = float(words.agg(F.sum("n")).first()[0] or 1)
     alts, rates = alternatives(words)
-    found = scan_lines(texts, _bit_table(alts))
+    found = read_rows.filter("part = 'f'").select("stem", "line_no", "kind", F.col("a").alias("left"), F.col("b").alias("right"), "mark", "next_line")
     judged = found.filter("kind = 'break'").join(judge_breaks(breaks, words, rates, total), ["left", "right", "mark"])
-    return texts, found, judged, decode(found, alts, words, pairs, total)
+    return found, judged, decode(pieces_to_decode(read_rows, _bit_table(alts)), alts, words, pairs, total)
 
 
 def noisy_lines(sources: DataFrame, stem_col: str = "stem", text_col: str = "text") -> DataFrame:
     """stem, line_no, kind (furniture, hyphen, misread); a furniture line has no other kind."""
-    _, found, judged, decoded = analyse(sources, stem_col, text_col)
+    found, judged, decoded = analyse(_texts(sources, stem_col, text_col))
     judged = cut(judged)
     rows = found.filter("kind IN ('furniture', 'misread')").select("stem", "line_no", "kind")
     rows = rows.unionByName(judged.filter("hyphen").select("stem", "line_no", F.lit("hyphen").alias("kind")))
@@ -585,7 +621,8 @@ def put_right(token: str, fixes: dict[str, str]) -> str:
 def repaired_paragraphs(sources: DataFrame, stem_col: str = "stem", text_col: str = "text") -> DataFrame:
     """stem, para_no, text: the running text without furniture, broken words joined, misread words put right; paragraphs end at blank
     lines and at lines that end a sentence before one that is a heading; a page's end does not end one."""
-    texts, _, judged, decoded = analyse(sources, stem_col, text_col)
+    texts = cut(_texts(sources, stem_col, text_col))
+    _, judged, decoded = analyse(texts)
     a = decoded.select("stem", F.struct("line_no", F.lit(0).alias("next_line"), "seen", "printed").alias("fix"))
     b = judged.select("stem", F.struct("line_no", "next_line", F.col("left").alias("seen"), F.when(F.col("hyphen"), F.col("word")).otherwise(F.lit(None)).alias("printed")).alias("fix"))
     fixes = a.unionByName(b).groupBy("stem").agg(F.collect_list("fix").alias("fixes"))  # of one text
