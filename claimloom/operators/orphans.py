@@ -70,6 +70,11 @@ def live_counts(events: DataFrame) -> DataFrame:
 
 
 def find_orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
+    """refs(key, at), parents(key, start, end) -> key, at, reason for the references without a live record."""
+    return orphans_of(refs.select("key", "at", F.col("key").alias("_key")), parents).select(F.col("_key").alias("key"), "at", "reason")
+
+
+def orphans_of(refs: DataFrame, parents: DataFrame) -> DataFrame:
     """refs(key, at, ...), parents(key, start, end) -> the references without a live record, with reason in place of key."""
     sides = refs.select("key", F.lit(1).alias("w"), F.lit(0).alias("h")).unionByName(parents.select("key", F.lit(0).alias("w"), F.lit(1).alias("h")))
     sides = cut(sides.groupBy("key").agg(F.max("w").alias("w"), F.max("h").alias("h")))
@@ -103,7 +108,7 @@ def orphan_references(registry: DataFrame, inventory: DataFrame, references: Dat
     cites = references.select(F.concat(F.lit("1"), own).alias("key"), F.col("indexed_at").cast("timestamp").alias("start"), F.col("withdrawn_at").cast("timestamp").alias("end"))
     names = F.array(*[F.lit(t) for t in tables])
     refs = refs.withColumn("ref_table", names[F.substr("key", F.lit(1), F.lit(1)).cast("int")])
-    found = find_orphans(refs, files.unionByName(cites))
+    found = orphans_of(refs, files.unionByName(cites))
     return found.select("claim_id", "ref_table", "reason", F.date_format("at", "yyyy-MM").alias("ref_month")).distinct()
 
 

@@ -23,13 +23,13 @@ COPEN, CCLOSE, CCLOSE_PART = "\ue204", "\ue205", "\ue206"  # curly marks
 CITED = "\ue207"  # a comma that leads on to "as cited in"
 END = "\ue208"
 
-YEAR = r"\b(?:1[5-9]|20)\d\d[A-Za-z]?"
+YEAR = r"(?:\b(?:1[5-9]|20)\d\d[A-Za-z]?|\bn\.\s?d\.|\bin press\b|\bforthcoming\b)"
 PAGE = r"(?:\s*,\s*pp?\.?\s*\d+(?:\s?[-–]\s?\d+)?)?"
 SEPARATOR = r"(?:[;；|/·,&\n\t–—]|\band\b)"
-VALUE_END = rf"({YEAR}\)?{PAGE}|[{CLOSE}{CCLOSE}])(?:\s*(?:{SEPARATOR}\s*)+|\s*$)"
+COMPLETE = rf"{YEAR}\)?{PAGE}"
 
 
-def _mask_literals(df: DataFrame, col: str, marks: str, opened: str, closed: str, part: str, doubled: bool) -> DataFrame:
+def _mask_literals(df: DataFrame, col: str, marks: str, opened: str, closed: str, part: str, doubled: bool, complete: str) -> DataFrame:
     """Fold the pieces between quote marks; unbalanced marks leave the text as it is. The pieces are a column of their own, so that
     the fold does not split the text again at each step."""
     df = df.withColumn("_pieces", F.split(F.col(col), f"[{marks}]")).withColumn("_n", F.size("_pieces"))
@@ -38,7 +38,7 @@ def _mask_literals(df: DataFrame, col: str, marks: str, opened: str, closed: str
     def step(acc: Column, pair: Column) -> Column:
         piece, k = pair["p"], pair["k"]
         twice = F.lit(doubled) & (k > 0) & (k < n - 1) & (piece == "")
-        done = F.when(acc["lit"].rlike(YEAR), F.lit(closed)).otherwise(F.lit(part))
+        done = F.when(acc["lit"].rlike(complete), F.lit(closed)).otherwise(F.lit(part))
         even = F.concat(acc["s"], F.when(k > 0, done).otherwise(F.lit("")), piece, F.when(k < n - 1, F.lit(opened)).otherwise(F.lit("")))
         literal = F.struct(F.concat(acc["s"], F.translate(piece, PLAIN, MASKED)).alias("s"), F.concat(acc["lit"], piece).alias("lit"))
         mark = F.struct(F.concat(acc["s"], F.lit(DOUBLED)).alias("s"), acc["lit"].alias("lit"))
@@ -59,13 +59,16 @@ def _strip_brackets(text: Column) -> Column:
     return F.when(round_ | square, inner).otherwise(t)
 
 
-def unpack_field(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """keep + n_values, pos (from 1), cite_value: one row for each value."""
+def unpack_field(df: DataFrame, text_col: str, keep: list[str], complete: str = COMPLETE, separator: str = SEPARATOR) -> DataFrame:
+    """keep + n_values, pos (from 1), cite_value: one row for each value. A separator counts only behind what completes a value: a pattern
+    (without groups that capture), by default a year, "n.d." or "in press" and perhaps a page; "" lets every separator count. A quoted
+    value is complete if it holds such an end."""
+    value_end = rf"({complete}|[{CLOSE}{CCLOSE}])(?:\s*(?:{separator}\s*)+|\s*$)"
     work = df.select(*keep, _strip_brackets(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
-    work = _mask_literals(work, "_text", "“”", COPEN, CCLOSE, CCLOSE_PART, False)
-    work = _mask_literals(work, "_text", '"', OPEN, CLOSE, CLOSE_PART, True)
+    work = _mask_literals(work, "_text", "“”", COPEN, CCLOSE, CCLOSE_PART, False, complete)
+    work = _mask_literals(work, "_text", '"', OPEN, CLOSE, CLOSE_PART, True, complete)
     masked = F.regexp_replace("_text", r"(?i),(\s*as cited in\b)", CITED + "$1")
-    cut = F.split(F.regexp_replace(masked, VALUE_END, "$1" + END), END)
+    cut = F.split(F.regexp_replace(masked, value_end, "$1" + END), END)
 
     def finish(v: Column) -> Column:
         v = F.trim(F.regexp_replace(v, r"\s+", " "))

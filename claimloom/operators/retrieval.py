@@ -40,9 +40,8 @@ def fuzzy_top_k(claims: DataFrame, windows: DataFrame, source_key: str, k: int =
     floor = F.max(F.when(F.col("nth") == k, F.col("low"))).over(per_claim)  # the k-th best lower bound; null where there are fewer windows
     kept = cut(pairs.withColumn("floor", floor).filter("floor IS NULL OR high >= floor").drop("nth", "floor"))
     known = kept.filter("high <= low").select("claim_id", *place, F.col("low").alias("ratio"))
+    # the short texts of claims ride to their windows, and are scored there
     open_ = kept.filter("high > low").join(claims.select("claim_id", F.col("claim_text").alias("q")), "claim_id").join(windows.select(*place, "text"), place)
-    # by a fixed number of partitions: the scorer is heavy for its bytes, and a partitioning by bytes would leave it to few tasks
-    open_ = open_.repartition(int(claims.sparkSession.conf.get("spark.sql.shuffle.partitions")), "claim_id", "page_no", "win_no")
     scored = known.unionByName(open_.select("claim_id", *place, token_set_ratio_udf("q", "text").alias("ratio")))
     top = scored.withColumn("rank", F.row_number().over(per_claim.orderBy(F.desc("ratio"), "page_no", "win_no"))).filter(F.col("rank") <= k)
     return top.select("claim_id", *place, F.floor("ratio").cast("int").alias("score"), "rank")

@@ -134,3 +134,12 @@ def test_orphan_references_nulls(spark):
     idx = spark.createDataFrame([("r", "a", "2001b")], "review_id string, first_author string, year string").selectExpr("*", "timestamp'2024-06-01' AS indexed_at", "CAST(NULL AS TIMESTAMP) AS withdrawn_at")
     got = sorted(tuple(r) for r in orphans.orphan_references(reg, inv, idx).collect())
     assert got == [("c1", "references_index", "missing", "2024-05"), ("c2", "references_index", "late", "2024-05")]
+
+
+def test_ends_of_values(spark):
+    """Values without a year, and a caller's own end of a value."""
+    df = spark.createDataFrame([("a", "(Smith, n.d.; Jones & Lee, in press)"), ("b", "red; green / blue"), ("c", '"x; y"; z')], "k string, t string")
+    values = lambda rows, k: [r.cite_value for r in rows.filter(f"k = '{k}'").orderBy("pos").collect()]
+    assert values(packed.unpack_field(df, "t", ["k"]), "a") == ["Smith, n.d.", "Jones & Lee, in press"] and values(packed.unpack_field(df, "t", ["k"]), "b") == ["red; green / blue"]
+    own = packed.unpack_field(df, "t", ["k"], complete="", separator="[;/]")
+    assert values(own, "b") == ["red", "green", "blue"] and values(own, "c") == ["x; y", "z"]
