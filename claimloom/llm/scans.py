@@ -539,11 +539,15 @@ def decode(pieces: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFram
     own = F.struct("pos", F.lit(0).alias("alt"), "word", F.lit(0.0).alias("lp"), F.coalesce("n_word", F.lit(1)).cast("double").alias("n"))
     others = F.transform(F.coalesce("alts", F.array()), lambda a: F.struct(F.col("pos"), F.lit(1).alias("alt"), a["cand"].alias("word"), a["lp"].alias("lp"), a["n"].alias("n")))
     # the words of one piece, then their printed forms, in flat arrays
-    line = tok.groupBy(*key).agg(F.first("lines").alias("lines"), F.array_sort(F.flatten(F.collect_list(F.concat(F.array(own), others)))).alias("ts"))
-    line = cut(line.select(*key, "lines", *[F.col(f"ts.{c}").alias(c) for c in ("pos", "alt", "word", "lp", "n")]))
-    rows = F.arrays_zip("pos", "word")
-    near = F.flatten(F.transform(rows, lambda x: F.transform(F.filter(rows, lambda y: y["pos"] == x["pos"] + 1), lambda y: F.xxhash64(x["word"], y["word"]))))
-    seen = line.select(*key, F.explode(F.array_distinct(near)).alias("key")).join(pairs, "key")
+    line = tok.groupBy(*key).agg(F.first("lines").alias("lines"), F.array_sort(F.collect_list(F.struct("pos", F.concat(F.array(own), others).alias("forms")))).alias("ts"))
+    # keys of all pairs of forms of neighbours: each place meets the next one only
+    hashes = lambda x, y: F.flatten(F.transform(x["forms"], lambda a: F.transform(y["forms"], lambda b: F.xxhash64(a["word"], b["word"]))))
+    none = F.array().cast("array<bigint>")
+    steps = F.transform(F.sequence(F.lit(1), F.size("ts")), lambda k: F.struct(F.element_at("ts", k).alias("x"), F.try_element_at("ts", k + 1).alias("y")))
+    near = F.flatten(F.transform(steps, lambda s: F.when(s["y"]["pos"] == s["x"]["pos"] + 1, hashes(s["x"], s["y"])).otherwise(none)))
+    forms = F.flatten(F.col("ts.forms"))
+    line = cut(line.select(*key, "lines", forms.alias("f"), F.array_distinct(near).alias("near")).select(*key, "lines", "near", *[F.col(f"f.{c}").alias(c) for c in ("pos", "alt", "word", "lp", "n")]))
+    seen = line.select(*key, F.explode("near").alias("key")).join(pairs, "key")
     seen = seen.groupBy(*key).agg(F.collect_list(F.struct("key", "n")).alias("p")).select(*key, F.col("p.key").alias("keys"), F.col("p.n").alias("counts"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
