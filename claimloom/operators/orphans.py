@@ -71,7 +71,7 @@ def live_counts(events: DataFrame) -> DataFrame:
 
 def find_orphans(refs: DataFrame, parents: DataFrame) -> DataFrame:
     """refs(key, at), parents(key, start, end) -> key, at, reason for the references without a live record."""
-    return orphans_of(refs.select("key", "at", F.col("key").alias("_key")), parents).select(F.col("_key").alias("key"), "at", "reason")
+    return orphans_of(refs.select("key", "at", F.col("key").alias("_key")), parents).select(F.col("_key").alias("key"), "at", "reason").distinct()
 
 
 def orphans_of(refs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def orphans_of(refs: DataFrame, parents: DataFrame) -> DataFrame:
     sides = cut(sides.groupBy("key").agg(F.max("w").alias("w"), F.max("h").alias("h")))
     numbered = cut(dense_integers(sides.select("key")).join(sides, "key"))
     gone = beyond_runs(numbered.filter("w = 1").select("n"), contiguous_runs(numbered.filter("h = 1").select("n")))
-    asked = cut(refs.distinct().join(numbered.select("key", "n"), "key").drop("key"))
+    asked = cut(refs.join(numbered.select("key", "n"), "key").drop("key"))
     lives = cut(parents.distinct().join(numbered.filter("w = 1").select("key", "n"), "key").drop("key"))
     missing = asked.join(gone, "n", "left_semi").withColumn("reason", F.lit("missing"))
     # records live at a time
@@ -107,9 +107,8 @@ def orphan_references(registry: DataFrame, inventory: DataFrame, references: Dat
     files = inventory.select(F.concat(F.lit("0"), normal_path(F.col("path"))).alias("key"), F.col("registered_at").cast("timestamp").alias("start"), F.col("deleted_at").cast("timestamp").alias("end"))
     cites = references.select(F.concat(F.lit("1"), own).alias("key"), F.col("indexed_at").cast("timestamp").alias("start"), F.col("withdrawn_at").cast("timestamp").alias("end"))
     names = F.array(*[F.lit(t) for t in tables])
-    refs = refs.withColumn("ref_table", names[F.substr("key", F.lit(1), F.lit(1)).cast("int")])
-    found = orphans_of(refs, files.unionByName(cites))
-    return found.select("claim_id", "ref_table", "reason", F.date_format("at", "yyyy-MM").alias("ref_month")).distinct()
+    found = orphans_of(refs.withColumn("t", F.substr("key", F.lit(1), F.lit(1)).cast("tinyint")), files.unionByName(cites))
+    return found.select("claim_id", names[F.col("t").cast("int")].alias("ref_table"), "reason", F.date_format("at", "yyyy-MM").alias("ref_month")).distinct()
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:
