@@ -35,8 +35,9 @@ def parenthetical(s: Column) -> Column:
     return F.flatten(F.transform(blocks, one))
 
 
-def narrative(s: Column) -> Column:
-    """Name (year); the page is looked for after the match, then before it. Match ends come from the lengths of the pieces between."""
+def narrative(s: Column, compat: bool = False) -> Column:
+    """Name (year); the page is looked for after the match, then before it. Match ends come from the lengths of the pieces between.
+    compat: the text of a chain has "as cited in" twice."""
     s = F.coalesce(s, F.lit(""))
     full, names, years = (F.regexp_extract_all(s, F.lit(NARRATIVE), F.lit(k)) for k in (0, 1, 2))
     gaps = F.split(s, NARRATIVE, -1)
@@ -48,18 +49,18 @@ def narrative(s: Column) -> Column:
         page = F.coalesce(F.nullif(F.regexp_extract(tail, PAGE, 1), F.lit("")), F.regexp_extract(head, PAGE, 1))
         host, host_year = F.trim(F.regexp_extract(tail, CITED_IN, 1)), F.regexp_extract(tail, CITED_IN, 2)
         start = end - F.length(r["m"])
-        secondary = _record(F.concat(r["m"], F.lit(", "), F.regexp_extract(tail, CITED_IN, 0)), "secondary_narrative", host, host_year, page, start, F.trim(r["a"]), r["y"])
+        secondary = _record(F.concat(r["m"], F.lit(", as cited in " if compat else ", "), F.regexp_extract(tail, CITED_IN, 0)), "secondary_narrative", host, host_year, page, start, F.trim(r["a"]), r["y"])
         return F.when(host != "", secondary).otherwise(_record(r["m"], "narrative", F.trim(r["a"]), r["y"], page, start))
 
     return F.transform(F.filter(rows, lambda r: r["m"].isNotNull()), one)
 
 
-def citation_array(s: Column) -> Column:
+def citation_array(s: Column, compat: bool = False) -> Column:
     """Parenthetical, then narrative; of equal (author, year, type, place) the first."""
-    return F.array_distinct(F.concat(parenthetical(s), narrative(s)))
+    return F.array_distinct(F.concat(parenthetical(s), narrative(s, compat)))
 
 
-def citations(sentences: DataFrame, keys: list[str], sentence: str = "sentence") -> DataFrame:
+def citations(sentences: DataFrame, keys: list[str], sentence: str = "sentence", compat: bool = False) -> DataFrame:
     """keys, cit_no and the fields of each citation; sentences without one give no row."""
-    rows = sentences.filter(F.col(sentence).rlike(r"\(")).select(*keys, F.posexplode(citation_array(F.col(sentence))).alias("cit_no", "c"))
+    rows = sentences.filter(F.col(sentence).rlike(r"\(")).select(*keys, F.posexplode(citation_array(F.col(sentence), compat)).alias("cit_no", "c"))
     return rows.select(*keys, "cit_no", "c.*")

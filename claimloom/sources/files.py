@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -121,17 +121,22 @@ def docx_sections(paragraphs: DataFrame) -> DataFrame:
     return p.groupBy("review_id", "sec_no").agg(F.max(F.when(head, F.col("level"))).alias("level"), F.max(F.when(head, F.col("t"))).alias("title"), F.array_join(body, " ").alias("body"))
 
 
-def read_pdf_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """stem, text with page markers, error; needs a PDF library on the workers, and says so in `error` where there is none."""
+def pdf_pages(content: bytes) -> list[str]:
+    """The text of each page, by a PDF library if the workers have one."""
+    from pypdf import PdfReader
+
+    return [p.extract_text() or "" for p in PdfReader(io.BytesIO(content)).pages]
+
+
+def read_pdf_texts(spark: SparkSession, folder: str, pages_of: Callable[[bytes], list[str]] = pdf_pages) -> DataFrame:
+    """stem, text with page markers, error; a file that the parser cannot read, or all where it is missing, are rows with the error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    from pypdf import PdfReader
-
-                    pages = [(p.extract_text() or "").strip() for p in PdfReader(io.BytesIO(content)).pages]
+                    pages = [p.strip() for p in pages_of(content)]
                     text, error = "\n".join(f"<<<PAGE={k}>>>\n{t}" for k, t in enumerate(pages, 1)), None
                 except Exception as e:  # noqa: BLE001
                     text, error = None, f"{type(e).__name__}: {e}"
@@ -141,6 +146,14 @@ def read_pdf_texts(spark: SparkSession, folder: str) -> DataFrame:
     return _binary(spark, folder, "*.pdf").select("path", "content").mapInPandas(run, "stem string, text string, error string")
 
 
+def convert_pdfs(spark: SparkSession, folder: str, out: str, pages_of: Callable[[bytes], list[str]] = pdf_pages) -> DataFrame:
+    """The texts of a folder's PDF files as a table at out (stem, text), and the rows that failed. Each file is read once."""
+    read_pdf_texts(spark, folder, pages_of).write.mode("overwrite").parquet(f"{out}.all")
+    done = spark.read.parquet(f"{out}.all")
+    done.filter("error IS NULL").select("stem", "text").write.mode("overwrite").parquet(out)
+    return done.filter("error IS NOT NULL").select("stem", "error")
+
+
 def read_source_texts(spark: SparkSession, folder: str) -> DataFrame:
     df = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt").withColumn("path", F.col("_metadata.file_path"))
     return df.select(F.regexp_replace(F.url_decode(F.element_at(F.split("path", "/"), -1)), r"\.txt$", "").alias("stem"), F.col("value").alias("text"))

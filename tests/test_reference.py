@@ -345,3 +345,26 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame([(k,) for k in [0, 20, 31, 40, 50]], "node int"), e).collect()}
     assert got[20] == 0 and got[31] == 30 and got[40] == 40 and got[50] == 50
     assert connected_components(spark.createDataFrame([(1,)], "node int"), e.limit(0)).count() == 1
+
+
+def test_pdf_files(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"one\x0ctwo ")
+    (tmp_path / "b.pdf").write_bytes(b"broken")
+
+    def pages_of(content):
+        if content == b"broken":
+            raise ValueError("no pages")
+        return content.decode().split("\x0c")
+
+    failed = files.convert_pdfs(spark, str(tmp_path), str(tmp_path / "out"), pages_of)
+    assert [tuple(r) for r in failed.collect()] == [("b", "ValueError: no pages")]
+    texts = spark.read.parquet(str(tmp_path / "out"))
+    assert [tuple(r) for r in texts.collect()] == [("a", "<<<PAGE=1>>>\none\n<<<PAGE=2>>>\ntwo")]
+    assert [(r.page_no, r.text) for r in textops.pages(texts, "stem", "text").orderBy("page_no").collect()] == [(1, "one"), (2, "two")]
+    assert files.read_pdf_texts(spark, str(tmp_path)).filter("error IS NULL").count() == 0
+
+
+def test_chains_in_the_literal_form(spark):
+    t = "Smith (2020) says so, as cited in Host, 2022."
+    assert [c.citation_text for c in one(spark, citations.narrative, t)] == ["Smith (2020), as cited in Host, 2022"]
+    assert [c.citation_text for c in one(spark, lambda c: citations.narrative(c, True), t)] == ["Smith (2020), as cited in as cited in Host, 2022"]
