@@ -534,33 +534,35 @@ def decode(pieces: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFram
     """stem, line_no, place, seen, printed: the words of the pieces that were misread."""
     key = ["stem", "place"]
     tok = pieces.select(*key, "lines", F.posexplode("words").alias("pos", "word")).filter("word IS NOT NULL")
+    tok = tok.select(*key, "pos", "word", F.when(F.col("pos") > 0, F.try_element_at("lines", F.greatest("pos", F.lit(1)))).alias("line"))  # none for the neighbours
     options = alts.groupBy("word").agg(F.collect_list(F.struct("cand", "lp", F.col("n_cand").alias("n"))).alias("alts"))  # printed forms of one word
     tok = tok.join(words.select("word", F.col("n").alias("n_word")).join(options, "word", "left"), "word", "left")
-    own = F.struct("pos", F.lit(0).alias("alt"), "word", F.lit(0.0).alias("lp"), F.coalesce("n_word", F.lit(1)).cast("double").alias("n"))
-    others = F.transform(F.coalesce("alts", F.array()), lambda a: F.struct(F.col("pos"), F.lit(1).alias("alt"), a["cand"].alias("word"), a["lp"].alias("lp"), a["n"].alias("n")))
+    own = F.struct("pos", F.coalesce("line", F.lit(0)).alias("line"), "word", F.lit(0.0).alias("lp"), F.coalesce("n_word", F.lit(1)).cast("double").alias("n"))
+    others = F.transform(F.coalesce("alts", F.array()), lambda a: F.struct(F.col("pos"), F.lit(-1).alias("line"), a["cand"].alias("word"), a["lp"].alias("lp"), a["n"].alias("n")))
     # the words of one piece, then their printed forms, in flat arrays
-    line = tok.groupBy(*key).agg(F.first("lines").alias("lines"), F.array_sort(F.collect_list(F.struct("pos", F.concat(F.array(own), others).alias("forms")))).alias("ts"))
+    line = tok.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("pos", F.concat(F.array(own), others).alias("forms")))).alias("ts"))
     # keys of all pairs of forms of neighbours: each place meets the next one only
     hashes = lambda x, y: F.flatten(F.transform(x["forms"], lambda a: F.transform(y["forms"], lambda b: F.xxhash64(a["word"], b["word"]))))
     none = F.array().cast("array<bigint>")
     steps = F.transform(F.sequence(F.lit(1), F.size("ts")), lambda k: F.struct(F.element_at("ts", k).alias("x"), F.try_element_at("ts", k + 1).alias("y")))
     near = F.flatten(F.transform(steps, lambda s: F.when(s["y"]["pos"] == s["x"]["pos"] + 1, hashes(s["x"], s["y"])).otherwise(none)))
     forms = F.flatten(F.col("ts.forms"))
-    line = cut(line.select(*key, "lines", forms.alias("f"), F.array_distinct(near).alias("near")).select(*key, "lines", "near", *[F.col(f"f.{c}").alias(c) for c in ("pos", "alt", "word", "lp", "n")]))
+    line = cut(line.select(*key, forms.alias("f"), F.array_distinct(near).alias("near")).select(*key, "near", *[F.col(f"f.{c}").alias(c) for c in ("pos", "line", "word", "lp", "n")]))
     seen = line.select(*key, F.explode("near").alias("key")).join(pairs, "key")
     seen = seen.groupBy(*key).agg(F.collect_list(F.struct("key", "n")).alias("p")).select(*key, F.col("p.key").alias("keys"), F.col("p.n").alias("counts"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for stem, lines, pos, alt, word, lp, n, keys, counts in pdf.itertuples(index=False):
+            for stem, pos, line_no, word, lp, n, keys, counts in pdf.itertuples(index=False):
                 pair = dict(zip(keys.tolist(), counts.tolist())) if keys is not None else {}
                 places: dict[int, list] = {}
-                for at, other, w, c, m in zip(pos.tolist(), alt.tolist(), word, lp.tolist(), n.tolist()):
-                    places.setdefault(at, []).append((other, w, c, m))
+                for at, no, w, c, m in zip(pos.tolist(), line_no.tolist(), word, lp.tolist(), n.tolist()):
+                    places.setdefault(at, []).append((no, w, c, m))
                 choices = []
-                for at, found in places.items():
-                    (_, w, _, count), inside = found[0], 1 <= at <= len(lines)
+                for found in places.values():
+                    no, w, _, count = found[0]
+                    inside = no > 0
                     others = [(x, c, m, None) for _, x, c, m in found[1:] if x != w] if inside else []
                     if inside and certain_part(w):  # it stands for itself in no reading
                         printed = undone(w)
@@ -570,10 +572,10 @@ def decode(pieces: DataFrame, alts: DataFrame, words: DataFrame, pairs: DataFram
                         choices.append([(w, 0.0, kept, kept / max(count, 1)), *others])
                 for (at, found), w in zip(places.items(), viterbi(choices, pair, total)):
                     if w != found[0][1]:
-                        out.append((stem, int(lines[at - 1]), at, found[0][1], w.rstrip("\0")))
+                        out.append((stem, found[0][0], at, found[0][1], w.rstrip("\0")))
             yield pd.DataFrame(out, columns=["stem", "line_no", "place", "seen", "printed"])
 
-    both = line.join(seen, key, "left").select("stem", "lines", "pos", "alt", "word", "lp", "n", "keys", "counts")
+    both = line.join(seen, key, "left").select("stem", "pos", "line", "word", "lp", "n", "keys", "counts")
     return both.mapInPandas(run, "stem string, line_no int, place int, seen string, printed string")
 
 
