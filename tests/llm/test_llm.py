@@ -181,7 +181,7 @@ def test_sentences_empty(spark):
 def test_undo_and_furniture():
     assert scans.explain("review", "revicw") == [(4, "c")] and scans.explain("eat", "cat") == [(0, "c")] and scans.explain("cat", "eat") is None and scans.undone("simpliﬁed") == "simplified"
     long = "commemoration and administration of environmental information"
-    assert len(scans.explain(long, long.replace("m", "rn").replace("e", "c").replace("t", "f"))) == 22 and scans.explain("", "") == []
+    assert len(scans.explain(long, long.replace("m", "rn").replace("e", "c").replace("t", "f"))) == sum(map(long.count, "met")) and scans.explain("", "") == []
     assert scans.certain_misread("guidɑnce") and scans.certain_misread("re9ular") and not scans.certain_misread("2019a") and not scans.certain_misread("1,250") and not scans.certain_misread("4th")
     text = "<<<PAGE=1>>>\nNotes on water\nLee\n\nBody one\n12\nends here.\nPage 1 of 2\n<<<PAGE=2>>>\nNotcs on water | 30\nBody two.\n- 2 -"
     kinds = scans.line_kinds(text.split("\n"))
