@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,23 +16,31 @@ GAP = SPACE.replace("[", r"[\x1C-\x1F", 1)
 
 
 def lcs_length(a: str, b: str) -> int:
-    """Longest common subsequence by bit-parallel addition on big integers: O(len(b)) steps of len(a)/64 words."""
-    if not a or not b:
+    """Longest common subsequence by bit-parallel addition on big integers: a step for each character of the shorter text, on as many bits
+    as the longer one has characters."""
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
         return 0
-    where: dict[str, int] = {}
-    for k, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << k
+    codes = np.frombuffer(a.encode("utf-32-le", "surrogatepass"), np.uint32)
+    where = {c: int.from_bytes(np.packbits(codes == ord(c), bitorder="little").tobytes(), "little") for c in set(b)}
     full = (1 << len(a)) - 1
     row = full
-    for c in b:
-        u = row & where.get(c, 0)
-        row = ((row + u) | (row - u)) & full
+    for mask in map(where.__getitem__, b):
+        u = row & mask
+        if u:
+            row = ((row + u) | (row - u)) & full
     return len(a) - row.bit_count()
 
 
+@lru_cache(256)
+def _tokens(text: str) -> frozenset[str]:
+    return frozenset(text.split())
+
+
 def token_set_ratio(a: str | None, b: str | None) -> float:
     """0..100 over the sets of white-space tokens, case kept."""
-    x, y = set((a or "").split()), set((b or "").split())
+    x, y = _tokens(a or ""), _tokens(b or "")
     if not x or not y:
         return 0.0
     both, left, right = sorted(x & y), sorted(x - y), sorted(y - x)
