@@ -20,7 +20,9 @@ def match_sections(claims: DataFrame, sections: DataFrame, doc: str = "review_id
     idf = ln((N + 1) / (df + 1)) + 1 over the review's sections, 1 for terms no section has. Cosine needs no term shares, counts do.
     Claims meet sections on the terms they share, first of the body, then, if there is none, of the title; claims of a review without
     sections have the section "unknown". No claim is paired with all sections of its review."""
-    s = sections.select(doc, "sec_no", "level", "title", "body", (heading_penalty(F.col("title")) * level_boost(F.col("level"))).alias("prior"))
+    # both inputs are read several times: what they are made of is not done again
+    claims = cut(claims.select(doc, "claim_id", "claim_text"))
+    s = cut(sections.select(doc, "sec_no", "level", "title", "body", (heading_penalty(F.col("title")) * level_boost(F.col("level"))).alias("prior")))
     heads = s.drop("body")
     terms = s.select(doc, "sec_no", F.explode(tokens(F.col("body"))).alias("term")).groupBy(doc, "sec_no", "term").agg(F.count("*").alias("tf"))
     n = heads.groupBy(doc).agg(F.count("*").alias("n"), F.min(F.struct("sec_no", "title", "level")).alias("first"))
@@ -35,7 +37,7 @@ def match_sections(claims: DataFrame, sections: DataFrame, doc: str = "review_id
     scored = dots.join(norms.join(heads, [doc, "sec_no"]), [doc, "sec_no"]).join(q_norms, [doc, "claim_id"])
     cosine = F.round(F.coalesce(F.col("dot") / (F.col("norm") * F.col("q_norm")), F.lit(0.0)) * F.col("prior"), 9)
     by_text = scored.select(doc, "claim_id", "sec_no", "title", "level", cosine.alias("score")).filter("score > 0").groupBy(doc, "claim_id")
-    by_text = by_text.agg(F.max_by(F.struct("sec_no", "title", "level", "score"), F.struct("score", -F.col("sec_no"))).alias("p"))
+    by_text = cut(by_text.agg(F.max_by(F.struct("sec_no", "title", "level", "score"), F.struct("score", -F.col("sec_no"))).alias("p")))  # one row a claim, read twice
     rest = claims.select(doc, "claim_id", "claim_text").join(by_text.select(doc, "claim_id"), [doc, "claim_id"], "left_anti")
     words = rest.select(doc, "claim_id", F.explode(F.array_distinct(tokens(F.col("claim_text")))).alias("term"))
     title_words = heads.select(doc, "sec_no", "title", "level", "prior", F.explode(F.array_distinct(tokens(F.col("title")))).alias("term"))
