@@ -71,19 +71,55 @@ def fill_paths(claims: DataFrame, files: DataFrame, compat: bool = False) -> Dat
     return claims.join(got, "claim_id", "left").select("claim_id", F.coalesce(kept, "found", F.lit("")).alias("source_pdf_path"))
 
 
+def ranked(names: DataFrame, words: DataFrame) -> DataFrame:
+    """names(name, ...), words(t, n) -> also ws: the name's known words, rarest first, joined; names without one are left out."""
+    t = names.withColumn("t", F.explode(F.array_distinct(F.split("name", "_"))))
+    return t.join(words, "t").groupBy(*names.columns).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "t"))), lambda x: x["t"]), "_").alias("ws"))
+
+
+def choices(sets: DataFrame, most: int) -> DataFrame:
+    """sets(ws, ...) -> also key, size: each choice of one to `most` of the words, in their order. Rows are made one by one, so a long
+    name takes no memory."""
+    got = sets.withColumns({"each": F.split("ws", "_"), "key": F.lit(""), "size": F.lit(0), "at": F.lit(0)})
+    for _ in range(most):
+        # the next word is one behind the last; the last one's own place means that no more follow
+        got = got.withColumn("next", F.explode(F.sequence("at", F.size("each"))))
+        more, word = F.col("next") > F.col("at"), F.get("each", F.col("next") - 1)
+        key = F.when(~more, F.col("key")).when(F.col("size") == 0, word).otherwise(F.concat("key", F.lit("_"), word))
+        got = got.select(*sets.columns, "each", key.alias("key"), (F.col("size") + more.cast("int")).alias("size"), F.when(more, F.col("next")).otherwise(F.size("each")).alias("at"))
+    return got.filter("size > 0").drop("each", "at")
+
+
+def most_shared(names: DataFrame, files: DataFrame, most: int = 3) -> DataFrame:
+    """names(name), files(name, path), each distinct -> name, path, shared: the file that shares most words with a name, ties by path.
+    Both sides meet on choices of up to `most` words. Of the files with a choice only the first by path counts, as long as no more words
+    are shared, so a frequent word is one row. More are shared only by pairs that meet on `most` words before the file's last one."""
+    words = files.select(F.explode(F.array_distinct(F.split("name", "_"))).alias("t")).filter("t <> ''").groupBy("t").agg(F.count("*").alias("n"))
+    f = ranked(files, words).select("ws", "path")
+    first = choices(f, most).groupBy("key").agg(F.min("path").alias("path"), F.max("size").alias("size")).withColumn("theirs", F.lit(None).cast("string"))
+    long = f.filter(F.size(F.split("ws", "_")) > most).select(F.regexp_replace("ws", "_[^_]*$", "").alias("ws"), "path", F.col("ws").alias("theirs"))
+    met = first.unionByName(choices(long, most).filter(F.col("size") == most).select("key", "path", "size", "theirs"))
+    asked = ranked(names, words)
+    shared = F.when(F.col("theirs").isNull(), F.col("size")).otherwise(F.size(F.array_intersect(F.split("ws", "_"), F.split("theirs", "_"))))
+    hits = choices(asked.select("ws").distinct(), most).select("ws", "key").join(met, "key").select("ws", (-shared).alias("s"), "path")
+    best = hits.groupBy("ws").agg(F.min(F.struct("s", "path")).alias("b"))
+    return asked.join(best, "ws").select("name", "b.path", (-F.col("b.s")).alias("shared"))
+
+
 def overlapping(claims: DataFrame, files: DataFrame) -> DataFrame:
-    """claim_id -> path, shared: an exact stem first, else the file that shares most tokens with a candidate name; ties by path."""
-    c = claims.select("claim_id", F.posexplode(candidate_names(F.col("citation_text"))).alias("cand_no", "cand"))
-    f = files.select("path", F.lower(norm_lead(stem(F.col("path")))).alias("s"))
-    exact = c.join(f, F.lower("cand") == F.col("s")).groupBy("claim_id").agg(F.min_by("path", F.struct("cand_no", "path")).alias("path"))
-    # distinct names meet files, not claims: a frequent word is met once for each name that has it
-    ct = c.select(F.lower("cand").alias("cand")).distinct().select("cand", F.explode(F.array_distinct(F.split("cand", "_"))).alias("t")).filter("t <> ''")
-    ft = f.select("path", F.explode(F.array_distinct(F.split("s", "_"))).alias("t")).filter("t <> ''")
-    shared = ct.join(ft, "t").groupBy("cand", "path").agg(F.count("*").cast("int").alias("shared"))
-    shared = shared.groupBy("cand").agg(F.min_by(F.struct("path", "shared"), F.struct((-F.col("shared")).alias("s"), "path")).alias("p")).select("cand", "p.path", "p.shared")
-    best = c.withColumn("cand", F.lower("cand")).join(shared, "cand").groupBy("claim_id").agg(F.min_by(F.struct("path", "shared"), F.struct((-F.col("shared")).alias("s"), "cand_no", "path")).alias("b"))
-    both = best.select("claim_id", F.col("b.path").alias("op"), F.col("b.shared").alias("shared")).join(exact, "claim_id", "full")
-    return both.select("claim_id", F.coalesce("path", "op").alias("path"), F.when(F.col("path").isNotNull(), F.lit(None)).otherwise(F.col("shared")).alias("shared"))
+    """claim_id -> path, shared: an exact stem first, else the file that shares most tokens with a candidate name; ties by path. The first
+    candidate has all words of the second, which so has a say in exact stems only. A claim without an id has a row for either."""
+    cands = F.transform(candidate_names(F.col("citation_text")), lambda x: F.lower(x))
+    c = claims.select("claim_id", cands.alias("cands")).select("claim_id", F.element_at("cands", 1).alias("name"), F.element_at("cands", -1).alias("lead"))
+    stems = files.select(F.lower(norm_lead(stem(F.col("path")))).alias("name"), "path").groupBy("name").agg(F.min("path").alias("path"))
+    by_words = most_shared(c.select("name").distinct(), stems).select("name", F.col("path").alias("op"), "shared")
+    exact = [stems.select(F.col("name").alias(k), F.struct("path").alias(f"by_{k}")) for k in ("name", "lead")]
+    both = c.join(by_words, "name", "left").join(exact[0], "name", "left").join(exact[1], "lead", "left").withColumn("e", F.coalesce("by_name", "by_lead"))
+    row = lambda path, shared: F.struct(path.alias("path"), shared.cast("int").alias("shared"))
+    is_exact, is_shared, e, op, shared = F.col("e").isNotNull(), F.col("shared").isNotNull(), F.col("e.path"), F.col("op"), F.col("shared")
+    one = F.when(is_exact | is_shared, F.array(row(F.coalesce(e, op), F.when(e.isNull(), shared))))
+    two = F.array_compact(F.array(F.when(is_exact, row(e, F.lit(None))), F.when(is_shared, row(op, shared))))
+    return both.select("claim_id", F.inline(F.when(F.col("claim_id").isNull(), two).otherwise(one)))
 
 
 def strict(claims: DataFrame, files: DataFrame, overrides: dict[tuple[str, str], str] | None = None) -> DataFrame:

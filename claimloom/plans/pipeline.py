@@ -95,7 +95,8 @@ def q_target_years(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_resolve_overlap(s: SparkSession, d: str) -> DataFrame:
-    return resolve.overlapping(_claims(s, d), _files(s, d))
+    c = reports.last_of(table(s, d, "ccp_registry").select("claim_id", "citation_text", "loaded_at"), ["claim_id"], ["loaded_at"])
+    return resolve.overlapping(c, _files(s, d))
 
 
 def q_author_variants(s: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import io
 import json
+import random
+import re
 import zipfile
 
 import pytest
@@ -167,6 +169,51 @@ def test_weighted_without_a_common_word(spark):
     }
 
 
+def test_overlap_against_all_pairs(spark):
+    rnd, some = random.Random(5), "ash bay cod dew elm fen gum hay ivy jet 2001 2002".split()
+    names = ["_".join(rnd.sample(some, rnd.randint(1, 9))) for _ in range(150)] + ["ash_" * 3 + "2001", "_".join(some)]
+    inv = resolve.inventory(spark.createDataFrame([(f"{'pq'[k % 2]}/{n}.PDF",) for k, n in enumerate(names)] + [("p/.pdf",)], "path string"))
+    said = [" ".join(rnd.sample([*some, "nowhere", "Oak-ash"], rnd.randint(1, 11))) for _ in range(300)] + ["Nobody, 1999", "", " ".join([*some, "x"]), "Ash bay, 2001", names[3]]
+    rows = [(f"c{k}", x) for k, x in enumerate(said)] + [("none", None), (None, names[0])]
+    got = resolve.overlapping(spark.createDataFrame(rows, "claim_id string, citation_text string"), inv)
+    files = [(r.path, r.path.split("/")[1][:-4].lower()) for r in inv.collect()]
+    words, want = lambda x: {*x.lower().split("_")} - {""}, []
+    for i, text in rows:
+        lead, year = (text or "").split(",")[0].strip().replace("-", "_").replace(" ", "_").lower(), re.search(r"(?:19|20)\d\d", text or "")
+        cands = [f"{lead}_{year[0]}", lead] if year else [lead]
+        exact = next((min(p for p, s in files if s.strip("_") == x) for x in cands if any(s.strip("_") == x for _, s in files)), None)
+        best = min(((-len(words(x) & words(s)), k, p) for k, x in enumerate(cands) for p, s in files if words(x) & words(s)), default=None)
+        want += [(i, exact, None)] * (exact is not None) + ([(i, best[2], -best[0])] if best and (exact is None or i is None) else [])
+    assert [f.dataType.simpleString() for f in got.schema] == ["string", "string", "int"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_overlap_with_a_file_without_a_path(spark):
+    inv = resolve.inventory(spark.createDataFrame([(None,), ("p/.pdf",), ("p/Lee_2001.pdf",)], "path string"))
+    c = spark.createDataFrame([("a", None), ("b", "(2001)")], "claim_id string, citation_text string")
+    assert {tuple(r) for r in resolve.overlapping(c, inv).collect()} == {("a", "p/.pdf", None), ("b", "p/Lee_2001.pdf", 1)}
+
+
+def test_overlap_of_a_frequent_word_is_not_met_file_by_file(spark):
+    inv = resolve.inventory(spark.range(1500).select(F.format_string("p/Name%s_2019.pdf", "id").alias("path")))
+    c = spark.range(1500).select(F.col("id").cast("string").alias("claim_id"), F.format_string("(Other%s, 2019)", "id").alias("citation_text"))
+    jvm, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+
+    def written() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = store.stageList(None, False, False, jvm.new_array(jvm.jvm.double, 0), jvm.jvm.java.util.ArrayList())
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    before, limit = written(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as in larger tables
+    try:
+        rows = resolve.overlapping(c, inv).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {(r.path, r.shared) for r in rows} == {("p/Name0_2019.pdf", 1)} and len(rows) == 1500
+    assert written() - before < 60_000
+
+
 def test_reports(spark):
     v = spark.createDataFrame([("r", "s", "A", "1"), ("r", None, "A", "2"), (None, "s", "B", "3")], "review_id string, section string, verdict string, claim_id string")
     got = sorted((r.level, r.verdict, r["count"]) for r in reports.multi_level_counts(v, [("overall", []), ("review", ["review_id"]), ("section", ["review_id", "section"])], "verdict").collect())
